@@ -24,12 +24,24 @@ def shifted(values: Column, origin: Column) -> Column:
 
 
 def constants(values: Sequence[float]) -> Column:
-    return F.array(*[F.lit(float(v)) for v in values])
+    return F.expr("array(" + ", ".join(f"{float(v)!r}D" for v in values) + ")")
 
 
-def dot(values: Column, weights: Sequence[float]) -> Column:
-    """Inner product of an array column with fixed weights of the same length."""
-    return total(F.zip_with(values, constants(weights), lambda x, w: x * w))
+def summed(array: str, n: int, term: str) -> Column:
+    """Sum of a SQL term over the n elements of an array column, written out.
+
+    ``{x}`` stands for the element and ``{i}`` for its place. The written-out sum is plain generated code, without the
+    boxed values of a lambda.
+    """
+    return F.expr(" + ".join(f"({term.format(x=f'get(`{array}`, {i})', i=i)})" for i in range(n)))
+
+
+def dot(array: str, weights: Sequence[float]) -> Column:
+    """Inner product of an array column with fixed weights of the same length; zero weights are left out."""
+    used = [(i, float(w)) for i, w in enumerate(weights) if abs(w) > 1e-15]
+    if not used:
+        return F.lit(0.0)
+    return F.expr(" + ".join(f"get(`{array}`, {i}) * {w!r}D" for i, w in used))
 
 
 def tail(values: Column, n: int, m: int) -> Column:
@@ -62,11 +74,11 @@ def quantile_sorted(ordered: Column, n: int, q: float) -> Column:
     return F.get(ordered, low) + (F.get(ordered, high) - F.get(ordered, low)) * weight
 
 
-def ls_slope(values: Column, points: Sequence[float]) -> Column:
+def ls_slope(array: str, points: Sequence[float]) -> Column:
     """Least-squares slope of the values on fixed points; exactly 0 on a constant row of integers."""
     centre = sum(points) / len(points)
     gaps = [p - centre for p in points]
-    return dot(values, gaps) / sum(g * g for g in gaps)
+    return dot(array, gaps) / sum(g * g for g in gaps)
 
 
 def longest_run(values: Column, same: Callable[[Column, Column], Column], counts: Callable[[Column], Column]) -> Column:

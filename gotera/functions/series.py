@@ -73,10 +73,6 @@ def zero_count(serie: Column) -> Column:
     return A.count_where(serie, lambda x: x == 0)
 
 
-def slope(serie: Column, m: int) -> Column:
-    return A.ls_slope(serie, range(m))
-
-
 def sample_skewness(m: int, d2: Column, d3: Column) -> Column:
     """Bias-corrected skewness from the second and third central sums; 0 for a flat series."""
     factor = m * math.sqrt(m - 1) / (m - 2)
@@ -122,23 +118,21 @@ def add_moments(df: DataFrame, n: int, serie: str = "serie", windows: Sequence[i
         raise ValueError(f"the moment windows need at least {max(windows)} months, got {n}")
     part = {m: F.col(f"_w{m}") for m in windows}
     df = df.withColumns({f"_w{m}": A.tail(F.col(serie), n, m) for m in windows})
-    df = df.withColumns({f"mean_{m}": A.total(part[m]) / m for m in windows})
+    df = df.withColumns({f"mean_{m}": A.summed(f"_w{m}", m, "{x}") / m for m in windows})
     df = df.withColumns({
         f"_d{m}": A.shifted(part[m], F.col(f"mean_{m}")) for m in windows})
     sums = {}
     for m in windows:
-        dev = F.col(f"_d{m}")
-        sums[f"_d2_{m}"] = A.total(dev, lambda x: x * x)
-        sums[f"_d3_{m}"] = A.total(dev, lambda x: x * x * x)
-        if m > 3:
-            sums[f"_d4_{m}"] = A.total(dev, lambda x: x * x * x * x)
+        dev = f"_d{m}"
+        for order in range(2, 5 if m > 3 else 4):
+            sums[f"_d{order}_{m}"] = A.summed(dev, m, " * ".join(["{x}"] * order))
     df = df.withColumns(sums)
     out = {}
     for m in windows:
         d2 = F.col(f"_d2_{m}")
         out[f"cant_ceros_{m}"] = zero_count(part[m])
         out[f"max_cant_ceros_seg_{m}"] = longest_zero_run(part[m])
-        out[f"slope_{m}"] = slope(part[m], m)
+        out[f"slope_{m}"] = A.ls_slope(f"_w{m}", range(m))
         out[f"min_cons{m}"] = F.array_min(part[m])
         out[f"max_cons{m}"] = F.array_max(part[m])
         out[f"std_cons{m}"] = F.sqrt(d2 / (m - 1))

@@ -70,7 +70,7 @@ SERIES = """ids AS (SELECT contrato, cutoff FROM cells GROUP BY ALL HAVING count
 
 
 def r6(expression: str, name: str) -> str:
-    return f'round(CAST({expression} AS DOUBLE), 6) + 0.0 AS "{name}"'
+    return f'round(CAST({expression} AS DOUBLE) + 1e-9, 6) + 0.0 AS "{name}"'
 
 
 def big(expression: str, name: str) -> str:

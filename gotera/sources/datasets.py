@@ -40,9 +40,15 @@ def write_scores(scores: DataFrame, predictions_dir: str, cutoff: str | dt.date)
     return path
 
 
-def ranked_delivery(scored: DataFrame, selection: str, columns: Sequence[str], score: str = "pred_score") -> DataFrame:
-    """Tag scored rows with a selection id and put the highest scores first (a range-partitioned sort)."""
-    return scored.withColumn("id_seleccion", F.lit(selection)).orderBy(F.desc(score)).select(*columns)
+def ranked_delivery(
+    scored: DataFrame, selection: str, columns: Sequence[str], score: str = "pred_score", key: str = "contrato"
+) -> DataFrame:
+    """Tag scored rows with a selection id and put the highest scores first.
+
+    The sort is range-partitioned; the key after the score lets a score shared by very many rows spread over tasks.
+    """
+    tagged = scored.withColumn("id_seleccion", F.lit(selection))
+    return tagged.orderBy(F.desc(score), key).select(*columns)
 
 
 def write_ranked_delivery(

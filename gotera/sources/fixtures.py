@@ -17,25 +17,29 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(os.path.join(sf_dir, f"{name}.parquet"))
 
 
+def spread_out(df: DataFrame, key: str) -> DataFrame:
+    """Hash-partition a table whose files split into fewer tasks than there are cores; larger tables stay as they are."""
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(cores, key) if df.rdd.getNumPartitions() < cores else df
+
+
 def _joined(spark: SparkSession, sf_dir: str, where: Column | None = None) -> DataFrame:
     """Line items with their order priority and the supplier's place.
 
-    Nations and regions are fixed lists (25 and 5 rows); the order and supplier joins are left to the optimizer.
+    No hints: Spark broadcasts the tables whose files are below its own threshold and sort-merges the others.
     """
-    items = table(spark, sf_dir, "lineitem")
+    items = spread_out(table(spark, sf_dir, "lineitem"), "l_orderkey")
     if where is not None:
         items = items.where(where)
     orders = table(spark, sf_dir, "orders").select("o_orderkey", "o_orderpriority")
     suppliers = table(spark, sf_dir, "supplier").select("s_suppkey", "s_nationkey", "s_acctbal")
     nations = table(spark, sf_dir, "nation").select("n_nationkey", "n_name", "n_regionkey")
     regions = table(spark, sf_dir, "region").select("r_regionkey", "r_name")
-    places = (
-        suppliers.join(F.broadcast(nations), F.col("s_nationkey") == F.col("n_nationkey"))
-        .join(F.broadcast(regions), F.col("n_regionkey") == F.col("r_regionkey"))
-    )
     return (
         items.join(orders, F.col("l_orderkey") == F.col("o_orderkey"))
-        .join(places, F.col("l_suppkey") == F.col("s_suppkey"))
+        .join(suppliers, F.col("l_suppkey") == F.col("s_suppkey"))
+        .join(nations, F.col("s_nationkey") == F.col("n_nationkey"))
+        .join(regions, F.col("n_regionkey") == F.col("r_regionkey"))
     )
 
 
