@@ -23,9 +23,8 @@ CPUS = int(os.environ.get("BENCH_CPUS", "8"))
 REPEATS = int(os.environ.get("BENCH_REPEATS", "3"))
 TRAIN_CUTOFFS = [f"{y}-{m:02d}-01" for y in (1998, 1999) for m in range(1, 13)]
 REGISTERED = [
-    "clean_consumption", "clean_inspections", "label_argmax_dedup", "population_stats_12_6_3", "attr_change_counts",
-    "attr_distinct_counts", "wide_pivot", "gap_fill", "negative_sample", "series_moments", "constant_runs",
-    "ts_statistical", "ts_temporal", "ts_spectral", "target_encode", "oversampled_rows", "interim_round_trip",
+    "clean_consumption", "label_argmax_dedup", "population_stats_12_6_3", "attr_change_counts", "wide_pivot",
+    "negative_sample", "ts_spectral", "oversampled_rows",
 ]
 
 

@@ -14,8 +14,7 @@ RANK_DIGITS = 3
 
 def broadcast_if_small(df: DataFrame, max_rows: int = BROADCAST_ROWS) -> DataFrame:
     """Mark a narrow side for broadcast when its counted size is within the bound; otherwise leave the join to Spark."""
-    seen = df.limit(max_rows + 1).count()
-    return F.broadcast(df) if seen <= max_rows else df
+    return F.broadcast(df) if df.count() <= max_rows else df
 
 
 def keep_keys(df: DataFrame, keys: DataFrame, on: Sequence[str], max_rows: int = BROADCAST_ROWS) -> DataFrame:

@@ -11,6 +11,10 @@ SETTINGS = {
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.sources.partitionOverwriteMode": "dynamic",
+    # methods above this size are never compiled by the JVM; let Spark split such projections instead
+    "spark.sql.codegen.hugeMethodLimit": "8000",
+    # the per-contract groupings follow a sort on the same keys: aggregate in order, without a hash map
+    "spark.sql.execution.replaceHashWithSortAgg": "true",
 }
 
 
