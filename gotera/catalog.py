@@ -8,7 +8,7 @@ from __future__ import annotations
 import datetime as dt
 import functools
 import uuid
-from collections.abc import Callable, Sequence
+from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
 

@@ -23,15 +23,15 @@ def csv_position() -> Column:
     return F.shiftleft(block, BLOCK_BITS) + inside
 
 
-def raw_paths(spark: SparkSession, raw_dir: str, source: str, months: Months | None = None) -> list[str]:
-    """Files of the wanted months (a listing: one row per file)."""
+def raw_roots(spark: SparkSession, raw_dir: str, source: str, months: Months | None = None) -> list[str]:
+    """Files or folders of the wanted months: a few per month, however many files a folder holds."""
     files = raw_files(spark, raw_dir, source)
     if files is None:
         return []
     if months is not None:
         keys = [y * 100 + m for y, m in months]
         files = files.where((F.col("year") * 100 + F.col("month")).isin(keys))
-    return sorted(row["path"] for row in files.select("path").distinct().collect())
+    return sorted(row["root"] for row in files.select("root").distinct().collect())
 
 
 def read_raw(
@@ -47,9 +47,10 @@ def read_raw(
     All wanted months are one scan. CSV headers are checked against the first file, so a file with other columns is
     refused instead of misread.
     """
-    paths = raw_paths(spark, raw_dir, source, months)
+    paths = raw_roots(spark, raw_dir, source, months)
     if not paths:
         return None
+    options = {"recursiveFileLookup": "true", **options}
     if file_format == "csv":
         header = spark.read.options(header="true", **options).csv(paths[0]).columns
         schema = T.StructType([T.StructField(c, T.StringType(), True) for c in header])
