@@ -144,3 +144,18 @@ def test_the_profile_plan_has_two_data_shuffles_and_no_nested_loop(spark):
     plan = made._jdf.queryExecution().executedPlan().toString()
     assert plan.count("Exchange hashpartitioning") == 2
     assert "NestedLoop" not in plan and "CartesianProduct" not in plan
+
+
+def test_population_and_negatives_slice_without_another_contract_shuffle(spark):
+    data = rows(spark, [{"contrato": "a", "date": "1998-10-01", "consumo": 4.0, "categoria": "x"}])
+    months = windows.cutoff_list(["1999-01-01", "1999-02-01"])
+    label = spark.createDataFrame([("a", dt.date(1999, 1, 1))], "contrato string, date date")
+
+    def shuffles(df):
+        plan = df._jdf.queryExecution().executedPlan().toString()
+        assert "NestedLoop" not in plan and "Cartesian" not in plan
+        return plan.count("Exchange hashpartitioning")
+
+    assert shuffles(population_stats(data, months)) == 3       # months, contrato, category results
+    assert shuffles(population_stats(data, months[:1])) == 2
+    assert shuffles(wide.negative_sample(data, label, months, 5)) == 5  # two of them over at most k rows per task
