@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from gotera.llm import sharding, urls
+from gotera.llm import decontaminate, licenses, secrets, sharding, urls
 from gotera.llm.common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -32,7 +32,27 @@ def op4_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     return urls.judge_urls(pages, rules).drop("url")
 
 
-QUERIES: dict[str, Query] = {f.__name__: f for f in (op1_interleaved_shards, op4_url_filter)}
+def op5_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    found = secrets.find_secrets(docs)
+    kinds = [kind for kind, *_ in secrets.BASE_KINDS]
+    count = lambda kind: F.size(F.filter("secrets", lambda s: s["kind"] == kind)).cast("bigint")
+    base = F.filter("secrets", lambda s: s["kind"].isin(kinds))
+    return found.select("doc_id", *[count(kind).alias(f"n_{kind}") for kind in kinds],
+                        F.sha2(secrets.digest(base), 256).alias("base_sha256"), secrets.digest(F.col("secrets")).alias("spans"))
+
+
+def op7_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return licenses.scan_licenses(table(spark, sf_dir, "documents").select("doc_id", "text")).drop("text")
+
+
+def op10_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return decontaminate.contamination(docs, table(spark, sf_dir, "benchmark").select("item_id", "text"))
+
+
+QUERIES: dict[str, Query] = {f.__name__: f for f in (
+    op1_interleaved_shards, op4_url_filter, op5_secret_scan, op7_license_scan, op10_benchmark_decontamination)}
 
 
 def queries() -> dict[str, Query]:

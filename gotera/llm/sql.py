@@ -61,6 +61,28 @@ SELECT s.page_id, s.host, s.path, w.best.rule AS rule, coalesce(w.best.action, '
 FROM split s LEFT JOIN won w ON s.page_id = w.page_id
 """
 
+ORACLES["op10_benchmark_decontamination"] = r"""
+WITH worded AS (
+  SELECT 'd' AS kind, doc_id AS id, list_filter(regexp_split_to_array(lower(text), '[\x20\x09-\x0D]+'), lambda w: w <> '') AS w
+  FROM documents WHERE text IS NOT NULL
+  UNION ALL
+  SELECT 'i', item_id, list_filter(regexp_split_to_array(lower(text), '[\x20\x09-\x0D]+'), lambda w: w <> '')
+  FROM benchmark WHERE text IS NOT NULL
+),
+starts AS (
+  SELECT kind, id, w, unnest(range(greatest(len(w) - 4, 1))) AS s FROM worded WHERE len(w) > 0
+),
+shingles AS (SELECT DISTINCT kind, id, array_to_string(w[s + 1 : s + 5], ' ') AS shingle FROM starts),
+sizes AS (SELECT id, count(*) AS n_item FROM shingles WHERE kind = 'i' GROUP BY id),
+shared AS (
+  SELECT d.id AS doc_id, i.id AS item_id, count(*) AS n_shared
+  FROM shingles d JOIN shingles i ON d.kind = 'd' AND i.kind = 'i' AND d.shingle = i.shingle
+  GROUP BY d.id, i.id
+)
+SELECT doc_id, item_id, n_item, n_shared, n_shared::DOUBLE / n_item AS containment
+FROM shared JOIN sizes ON item_id = id WHERE n_shared * 100 >= n_item * 80
+"""
+
 
 def oracle_sql() -> dict[str, str]:
     return dict(ORACLES)
