@@ -4,13 +4,15 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from gotera.llm import decontaminate, licenses, secrets, sharding, urls
-from gotera.llm.common import table
+from gotera.llm import bpe, decontaminate, language, licenses, secrets, sharding, urls, warc
+from gotera.llm.common import run_folder, table
 
 Query = Callable[[SparkSession, str], DataFrame]
 
+RANKS = public_tokenizers.path("byte_bpe_multi_50k.tiktoken")
 URL_RULES = [
     ("org", "/", "allow"), ("example.org", "/es/", "block"), ("example.org", "/en/1", "block"), ("com", "/fr/", "allow"),
     ("com", "/de/", "block"),
@@ -26,6 +28,15 @@ def op1_interleaved_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.lit(None).cast("int").alias("grown_shard"), "source")
 
 
+def op3_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    coded = bpe.encode(docs, RANKS, public_tokenizers.PATTERN).select(
+        "doc_id", F.size("ids").cast("bigint").alias("n_tokens"),
+        F.sha2(F.array_join(F.col("ids").cast("array<string>"), ","), 256).alias("ids_sha256"), "ids")
+    return bpe.decode(coded, RANKS, public_tokenizers.PATTERN).select(
+        "doc_id", "n_tokens", "ids_sha256", F.sha2("decoded", 256).alias("decoded_sha256"))
+
+
 def op4_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     rules = spark.createDataFrame(URL_RULES, urls.RULES_SCHEMA)
     pages = table(spark, sf_dir, "pages").select("page_id", "url")
@@ -42,17 +53,31 @@ def op5_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
                         F.sha2(secrets.digest(base), 256).alias("base_sha256"), secrets.digest(F.col("secrets")).alias("spans"))
 
 
+def op6_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    known = language.learn(docs.where(~language.held_out(F.col("doc_id"))).select("text", "lang"))
+    asked = docs.select("doc_id", language.held_out(F.col("doc_id")).alias("held_out"), "text")
+    return language.identify(asked, known).select("doc_id", "held_out", "lang_pred", "score", "rejected")
+
+
 def op7_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return licenses.scan_licenses(table(spark, sf_dir, "documents").select("doc_id", "text")).drop("text")
 
 
+def op8_warc_round_trip(spark: SparkSession, sf_dir: str) -> DataFrame:
+    path = run_folder(spark, "warc")
+    warc.write_archives(table(spark, sf_dir, "pages").select("page_id", "url", "html"), path)
+    return warc.read_pages(spark, path)
+
+
 def op10_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     return decontaminate.contamination(docs, table(spark, sf_dir, "benchmark").select("item_id", "text"))
 
 
 QUERIES: dict[str, Query] = {f.__name__: f for f in (
-    op1_interleaved_shards, op4_url_filter, op5_secret_scan, op7_license_scan, op10_benchmark_decontamination)}
+    op1_interleaved_shards, op3_byte_bpe, op4_url_filter, op5_secret_scan, op6_language_id, op7_license_scan,
+    op8_warc_round_trip, op10_benchmark_decontamination)}
 
 
 def queries() -> dict[str, Query]:

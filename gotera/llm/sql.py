@@ -83,6 +83,17 @@ SELECT doc_id, item_id, n_item, n_shared, n_shared::DOUBLE / n_item AS containme
 FROM shared JOIN sizes ON item_id = id WHERE n_shared * 100 >= n_item * 80
 """
 
+ORACLES["op8_warc_round_trip"] = """
+WITH p AS (
+  SELECT page_id, strlen(coalesce(html, ''))::BIGINT AS payload_bytes, sha256(coalesce(html, '')) AS payload_digest FROM pages
+),
+g AS (SELECT *, CASE WHEN payload_bytes >= 100 THEN min(page_id) OVER (PARTITION BY payload_digest) END AS f FROM p)
+SELECT page_id, payload_bytes, payload_digest,
+  CASE WHEN f IS NOT NULL AND f <> page_id THEN 'revisit' ELSE 'response' END AS record_type,
+  CASE WHEN f <> page_id THEN f END AS refers_to
+FROM g
+"""
+
 
 def oracle_sql() -> dict[str, str]:
     return dict(ORACLES)
