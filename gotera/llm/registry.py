@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from gotera.llm import bpe, decontaminate, language, licenses, secrets, sharding, urls, warc
+from gotera.llm import bpe, decontaminate, language, licenses, neighbours, secrets, sharding, urls, warc
 from gotera.llm.common import run_folder, table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -70,6 +70,10 @@ def op8_warc_round_trip(spark: SparkSession, sf_dir: str) -> DataFrame:
     return warc.read_pages(spark, path)
 
 
+def op9_nearest_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return neighbours.nearest(table(spark, sf_dir, "embeddings"), lambda vec_id: vec_id % 20 == 0)
+
+
 def op10_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     return decontaminate.contamination(docs, table(spark, sf_dir, "benchmark").select("item_id", "text"))
@@ -77,7 +81,7 @@ def op10_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFram
 
 QUERIES: dict[str, Query] = {f.__name__: f for f in (
     op1_interleaved_shards, op3_byte_bpe, op4_url_filter, op5_secret_scan, op6_language_id, op7_license_scan,
-    op8_warc_round_trip, op10_benchmark_decontamination)}
+    op8_warc_round_trip, op9_nearest_neighbours, op10_benchmark_decontamination)}
 
 
 def queries() -> dict[str, Query]:
