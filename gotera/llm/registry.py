@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from gotera.llm import bpe, decontaminate, language, licenses, neighbours, secrets, sharding, urls, warc
+from gotera.llm import bpe, decontaminate, jaccard, language, licenses, neighbours, secrets, sharding, urls, warc
 from gotera.llm.common import run_folder, table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -28,6 +28,10 @@ def op1_interleaved_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.lit(None).cast("int").alias("grown_shard"), "source")
 
 
+def op2_ngram_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return jaccard.join_components(table(spark, sf_dir, "documents"))
+
+
 def op3_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     coded = bpe.encode(docs, RANKS, public_tokenizers.PATTERN).select(
@@ -80,7 +84,7 @@ def op10_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFram
 
 
 QUERIES: dict[str, Query] = {f.__name__: f for f in (
-    op1_interleaved_shards, op3_byte_bpe, op4_url_filter, op5_secret_scan, op6_language_id, op7_license_scan,
+    op1_interleaved_shards, op2_ngram_jaccard_join, op3_byte_bpe, op4_url_filter, op5_secret_scan, op6_language_id, op7_license_scan,
     op8_warc_round_trip, op9_nearest_neighbours, op10_benchmark_decontamination)}
 
 

@@ -94,6 +94,35 @@ SELECT page_id, payload_bytes, payload_digest,
 FROM g
 """
 
+ORACLES["op2_ngram_jaccard_join"] = r"""
+WITH RECURSIVE worded AS (
+  SELECT doc_id, list_filter(regexp_split_to_array(
+    translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[\x20\x09-\x0D]+'),
+    lambda w: w <> '') AS w
+  FROM documents
+),
+shingles AS (
+  SELECT DISTINCT doc_id, array_to_string(w[s + 1 : s + 5], ' ') AS shingle
+  FROM (SELECT doc_id, w, unnest(range(greatest(len(w) - 4, 1))) AS s FROM worded WHERE len(w) > 0)
+),
+sizes AS (SELECT doc_id, count(*) AS n FROM shingles GROUP BY doc_id),
+met AS (
+  SELECT a.doc_id AS a, b.doc_id AS b, count(*) AS m
+  FROM shingles a JOIN shingles b ON a.shingle = b.shingle AND a.doc_id <> b.doc_id GROUP BY a.doc_id, b.doc_id
+),
+links AS (
+  SELECT a, b FROM met JOIN sizes x ON a = x.doc_id JOIN sizes y ON b = y.doc_id WHERE 100 * m >= 80 * (x.n + y.n - m)
+),
+reached(a, b) AS (
+  SELECT a, b FROM links
+  UNION
+  SELECT r.a, l.b FROM reached r JOIN links l ON r.b = l.a
+)
+SELECT d.doc_id, coalesce(n, 0)::BIGINT AS n_shingles, least(d.doc_id, coalesce(min(b), d.doc_id))::BIGINT AS component_id
+FROM documents d LEFT JOIN sizes s ON d.doc_id = s.doc_id LEFT JOIN reached r ON d.doc_id = r.a
+GROUP BY d.doc_id, n
+"""
+
 
 def oracle_sql() -> dict[str, str]:
     return dict(ORACLES)
