@@ -7,6 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
+import corpus_pipeline
 from gotera.llm import bpe, decontaminate, jaccard, language, licenses, neighbours, secrets, sharding, urls, warc
 from gotera.llm.common import run_folder, table
 
@@ -86,6 +87,7 @@ def op10_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFram
 QUERIES: dict[str, Query] = {f.__name__: f for f in (
     op1_interleaved_shards, op2_ngram_jaccard_join, op3_byte_bpe, op4_url_filter, op5_secret_scan, op6_language_id, op7_license_scan,
     op8_warc_round_trip, op9_nearest_neighbours, op10_benchmark_decontamination)}
+QUERIES["pipeline"] = corpus_pipeline.run
 
 
 def queries() -> dict[str, Query]:
