@@ -117,6 +117,44 @@ def best_of(held: list[np.ndarray], keep: int) -> np.ndarray:
 FOUND = np.dtype([("query", np.int64), ("vid", np.int64), ("least", np.int64), ("score", np.float64)])
 
 
+PACKED = "query bigint, vid array<bigint>, least array<bigint>, score array<double>"
+
+
+def packed(rows: np.ndarray) -> pa.RecordBatch:
+    """A row per query with its best vectors as lists; ``rows`` are in query order."""
+    starts = np.flatnonzero(np.r_[True, rows["query"][1:] != rows["query"][:-1]]) if len(rows) else np.zeros(0, int)
+    ends = pa.array(np.r_[starts, len(rows)].astype(np.int32))
+    return pa.RecordBatch.from_arrays(
+        [pa.array(rows["query"][starts]), *[pa.ListArray.from_arrays(ends, pa.array(rows[n])) for n in ("vid", "least", "score")]],
+        names=list(FOUND.names))
+
+
+def merge_lists(keep: int):
+    """The best of each query over the lists of several tasks; rows come in query order, and one query is held at a time
+    with those of its batch."""
+    def run(batches):
+        held = np.zeros(0, FOUND)
+        for batch in batches:
+            if not len(batch):
+                continue
+            sizes = np.diff(batch.column(1).offsets.to_numpy())
+            rows = np.empty(int(sizes.sum()), FOUND)
+            rows["query"] = np.repeat(batch.column(0).to_numpy(), sizes)
+            for i, n in enumerate(("vid", "least", "score"), 1):
+                rows[n] = batch.column(i).flatten().to_numpy()
+            held = best_of([held, rows], keep)
+            open_query = held["query"] == batch.column(0)[-1].as_py()
+            yield unpacked(held[~open_query])
+            held = held[open_query]
+        yield unpacked(held)
+
+    return run
+
+
+def unpacked(rows: np.ndarray) -> pa.RecordBatch:
+    return pa.RecordBatch.from_arrays([pa.array(rows[n]) for n in FOUND.names], names=list(FOUND.names))
+
+
 def near_in_cell(queries: np.ndarray, asked: np.ndarray, data: np.ndarray, vid: np.ndarray, least: np.ndarray,
                  keep: int) -> np.ndarray:
     """Every query's best vectors of one cell; scores are summed component by component, the same for any block."""
@@ -136,7 +174,7 @@ def near_in_cell(queries: np.ndarray, asked: np.ndarray, data: np.ndarray, vid:
 
 
 def search_cells(keep: int):
-    """Streams rows sorted by cell, queries before vectors, and emits what is best per query over the task's cells.
+    """Streams rows sorted by cell, queries before vectors, and emits a row per query: its best over the task's cells.
 
     What is held is one cell's queries, one Arrow batch, and at most ``PENDING`` found rows.
     """
@@ -144,9 +182,6 @@ def search_cells(keep: int):
         cell, asked, queries, held, size = None, None, None, [], 0
         parts: list[tuple[np.ndarray, np.ndarray]] = []
 
-        def batch_of(rows: np.ndarray) -> pa.RecordBatch:
-            return pa.RecordBatch.from_arrays([pa.array(rows[n]) for n in FOUND.names], names=list(FOUND.names))
-
         for batch in batches:
             if not len(batch):
                 continue
@@ -174,11 +209,11 @@ def search_cells(keep: int):
                         held = [best_of(held, keep)]
                         size = len(held[0])
                         if size > PENDING // 2:
-                            yield batch_of(held[0])
+                            yield packed(held[0])
                             held, size = [], 0
                 start = end
         if held:
-            yield batch_of(best_of(held, keep))
+            yield packed(best_of(held, keep))
 
     return run
 
@@ -211,9 +246,9 @@ def candidates(index: DataFrame, queries: DataFrame, largest: float, hashes: int
         F.count(F.when(F.col("kind") == 0, 1)).alias("n_index"), F.count(F.when(F.col("kind") == 1, 1)).alias("n_query"))
     cells = dealt(hashed(both, largest, hashes, tables, width, probes), counts)
     met = cells.repartition(*CELL).sortWithinPartitions(*CELL, "turn").mapInArrow(
-        search_cells(keep), "query bigint, vid bigint, least bigint, score double")
-    order = Window.partitionBy("query").orderBy(F.desc("score"), "least", "vid")
-    return met.distinct().withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= keep).drop("rank")
+        search_cells(keep), PACKED)
+    return met.repartition("query").sortWithinPartitions("query").mapInArrow(
+        merge_lists(keep), "query bigint, vid bigint, least bigint, score double")
 
 
 def nearest(df: DataFrame, query_of, k: int = 20, vec_id: str = "vec_id", vector: str = "embedding", tables: int = TABLES,
