@@ -67,15 +67,24 @@ def shared_at_least(n: int, percent: int) -> int:
     return min(at_least(n, percent), max(LEAST_SHARED, -(-n // SHARE)))
 
 
+def shared_by_pair(n: int, m: int, percent: int) -> int:
+    """Prefix tokens that similar sets of n and m share at least.
+
+    They share o = percent / (100 + percent) of n + m or more. For any k, they then share k of their n - o + k and
+    m - o + k smallest hashes; the largest k for which the posted prefixes reach that far is taken.
+    """
+    least = -(-percent * (n + m) // (100 + percent))
+    return min(least - at_least(size, percent) + shared_at_least(size, percent) for size in (n, m))
+
+
 def lowest_shared(n: int, percent: int) -> int:
-    """``shared_at_least`` of the smallest set that can be similar to a set of n."""
-    return shared_at_least(at_least(n, percent), percent)
+    """What ``shared_by_pair`` is at least, whatever the other set (one less for what rounding can take)."""
+    return max(1, shared_at_least(n, percent) - 1)
 
 
 def lowest_shared_column(n: Column, percent: int) -> Column:
-    part = lambda m: F.floor((m * percent + 99) / 100)
-    small = part(n)
-    return F.least(part(small), F.greatest(F.lit(LEAST_SHARED), F.ceil(small / SHARE))).cast("bigint")
+    least = F.least(F.floor((n * percent + 99) / 100), F.greatest(F.lit(LEAST_SHARED), F.ceil(n / SHARE)))
+    return F.greatest(F.lit(1), least - 1).cast("bigint")
 
 
 def signed(values: np.ndarray) -> np.ndarray:
@@ -267,11 +276,10 @@ def search_cells(percent: int):
         cell, docs, lists = None, [], None
         for batch in batches:
             found = []
-            columns = [batch.column(i).to_pylist() for i in range(4)]
-            for i, (token, part, turn, cls) in enumerate(zip(*columns)):
-                if (token, part) != cell:
-                    cell, docs, lists = (token, part), [], None
-                n, comp = batch.column(4)[i].as_py(), batch.column(5)[i].as_py()
+            columns = [batch.column(i).to_pylist() for i in range(6)]
+            for i, (lead, part, turn, cls, n, comp) in enumerate(zip(*columns)):
+                if (lead, part) != cell:
+                    cell, docs, lists = (lead, part), [], None
                 tokens = batch.column(6)[i].values.to_numpy(zero_copy_only=False)
                 if turn == 0:
                     docs.append((cls, n, comp, tokens))
@@ -284,8 +292,7 @@ def search_cells(percent: int):
                 met = [lists[t] for t in tokens.tolist() if t in lists]
                 for number, count in divide_skip(met, lowest_shared(n, percent)):
                     other, size, theirs, _ = docs[number]
-                    if theirs != comp and 100 * min(n, size) >= percent * max(n, size) and count >= min(
-                            shared_at_least(n, percent), shared_at_least(size, percent)):
+                    if theirs != comp and 100 * min(n, size) >= percent * max(n, size) and count >= shared_by_pair(n, size, percent):
                         found.append((min(cls, other), max(cls, other)))
             yield pa.RecordBatch.from_arrays([pa.array([p[i] for p in found], pa.int64()) for i in range(2)], names=["a", "b"])
 
@@ -296,35 +303,40 @@ def across(posted: DataFrame, classes: DataFrame, labels: DataFrame, percent: in
     """Pairs of classes in different components that share enough prefix tokens, found by DivideSkip in cells.
 
     Links inside a component change nothing, so a token matters only where its documents lie in two or more components,
-    and a document only where it has enough such tokens. Of its tokens, rarest first, all but the last l - 1 name cells:
-    a similar document meets it in one of them. The largest component of a token is indexed but does not ask, so a
-    component with a third of all documents is not searched for itself. Cells over 2,048 documents are dealt into parts
-    that every asking document visits.
+    and a document only where it has enough such tokens. Of its tokens, rarest first, all but the last l - 1 send it to
+    cells: similar documents have one of these in common. The cell of a token is named by the first document of its
+    list, so documents that share many tokens still meet in few cells. The largest component of a cell is indexed but
+    does not ask, so a component with a third of all documents is not searched for itself. Cells over 2,048 documents
+    are dealt into parts that every asking document visits.
     """
     sizes = labels.groupBy("comp").agg(F.count("*").alias("size"))
     known = classes.select("cls", "n").join(labels.withColumnRenamed("node", "cls"), "cls", "left").withColumn(
         "comp", F.coalesce("comp", "cls")).join(sizes, "comp", "left").withColumn("size", F.coalesce("size", F.lit(1)))
     held = posted.select("token", "cls").join(known, "cls")
     per_token = held.groupBy("token").agg(
-        F.min("comp").alias("low"), F.max("comp").alias("high"), F.max(F.struct("size", "comp")).alias("big"),
-        F.count("*").alias("df")).where("low <> high").select("token", F.col("big.comp").alias("big"), "df")
-    mixed = held.join(per_token, "token")
+        F.min("comp").alias("low"), F.max("comp").alias("high"), F.min("cls").alias("lead"), F.count("*").alias("df")).where(
+        "low <> high").select("token", "lead", "df")
     lowest = lowest_shared_column(F.col("n"), percent)
     docs = (
-        mixed.groupBy("cls").agg(F.first("n").alias("n"), F.first("comp").alias("comp"), F.array_sort(
-            F.collect_list(F.struct("df", "token", "big"))).alias("held"))
+        held.join(per_token, "token").groupBy("cls").agg(
+            F.first("n").alias("n"), F.first("comp").alias("comp"), F.first("size").alias("size"), F.array_sort(
+                F.collect_list(F.struct("df", "token", "lead"))).alias("held"))
         .where(F.size("held") >= lowest)
     )
-    routed = docs.select("cls", "n", "comp", F.array_sort(F.transform("held", lambda h: h["token"])).alias("tokens"), F.explode(
-        F.slice("held", F.lit(1), F.size("held") - lowest.cast("int") + 1)).alias("r"))
-    parts = F.ceil(F.col("r.df") / CELL_DOCS).cast("int")
-    every, own = F.sequence(F.lit(0), parts - 1), F.pmod(F.xxhash64("cls"), parts.cast("bigint")).cast("int")
+    sent = F.array_distinct(F.transform(F.slice("held", F.lit(1), F.size("held") - lowest.cast("int") + 1), lambda h: h["lead"]))
+    routed = stored(docs.select("cls", "n", "comp", "size", F.array_sort(F.transform("held", lambda h: h["token"])).alias("tokens"),
+                                F.explode(sent).alias("lead")), "routed")
+    cells = routed.groupBy("lead").agg(
+        F.min("comp").alias("low"), F.max("comp").alias("high"), F.max(F.struct("size", "comp")).alias("big"),
+        F.ceil(F.count("*") / CELL_DOCS).cast("int").alias("parts")).where("low <> high").select("lead", "big.comp", "parts").withColumnRenamed(
+        "comp", "big")
+    every, own = F.sequence(F.lit(0), F.col("parts") - 1), F.pmod(F.xxhash64("cls"), F.col("parts").cast("bigint")).cast("int")
     visits = F.concat(F.array(F.struct(own.alias("part"), F.lit(0).alias("turn"))), F.when(
-        F.col("comp") != F.col("r.big"), F.transform(every, lambda p: F.struct(p.alias("part"), F.lit(1).alias("turn")))
+        F.col("comp") != F.col("big"), F.transform(every, lambda p: F.struct(p.alias("part"), F.lit(1).alias("turn")))
     ).otherwise(F.array().cast("array<struct<part:int,turn:int>>")))
-    cells = routed.select(F.col("r.token").alias("token"), F.explode(visits).alias("v"), "cls", "n", "comp", "tokens").select(
-        "token", "v.part", "v.turn", "cls", "n", "comp", "tokens")
-    return cells.repartition("token", "part").sortWithinPartitions("token", "part", "turn").mapInArrow(
+    visiting = routed.join(cells, "lead").select("lead", F.explode(visits).alias("v"), "cls", "n", "comp", "tokens").select(
+        "lead", "v.part", "v.turn", "cls", "n", "comp", "tokens")
+    return visiting.repartition("lead", "part").sortWithinPartitions("lead", "part", "turn").mapInArrow(
         search_cells(percent), "a bigint, b bigint").distinct()
 
 
