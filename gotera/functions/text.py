@@ -45,9 +45,10 @@ def trimmed_or_missing(col: Column) -> Column:
 
 
 def month_date(col: Column) -> Column:
-    """First day of a ``yyyyMM`` month, null when the text is not exactly such a month."""
+    """First day of a month written as four digits of the year and one or two of the month; null for any other text."""
     text = trimmed(col)
-    return F.when(F.length(text) == 6, F.try_to_date(text, "yyyyMM"))
+    padded = F.concat(F.substring(text, 1, 4), F.lpad(F.substring(text, 5, 2), 2, "0"))
+    return F.when(text.rlike(r"^[0-9]{4}(0?[1-9]|1[0-2])$"), F.try_to_date(padded, "yyyyMM"))
 
 
 def non_negative(col: Column) -> Column:

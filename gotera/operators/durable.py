@@ -2,18 +2,25 @@
 
 from __future__ import annotations
 
+import re
 import tempfile
 
 from pyspark.sql import DataFrame, SparkSession
 
 
 def checkpoint_dir(spark: SparkSession) -> str:
-    """The session's checkpoint folder; a local one only where the session names none (tests, notebooks)."""
+    """The session's checkpoint folder.
+
+    Without one, a folder of this machine serves a local master (tests, notebooks); on a cluster executors would not see
+    it, so a missing setting is an error there.
+    """
     context = spark.sparkContext
     known = context.getCheckpointDir()
     if known:
         return known
     named = spark.conf.get("spark.checkpoint.dir", None) or context.getConf().get("spark.checkpoint.dir")
+    if not named and not re.fullmatch(r"local(\[[^\]]*\])?", context.master):
+        raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
     context.setCheckpointDir(named or tempfile.mkdtemp(prefix="gotera-checkpoint-"))
     return context.getCheckpointDir()
 

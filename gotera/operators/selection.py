@@ -2,54 +2,88 @@
 
 from __future__ import annotations
 
+import hashlib
+import math
 from collections.abc import Sequence
 from itertools import combinations
 
 from pyspark.ml.classification import RandomForestClassifier
-from pyspark.ml.feature import VectorAssembler
+from pyspark.ml.feature import Imputer, VectorAssembler
+from pyspark.ml.functions import array_to_vector
 from pyspark.ml.stat import Correlation
+from pyspark.mllib.linalg.distributed import RowMatrix
+from pyspark.mllib.util import MLUtils
 from pyspark.sql import DataFrame, functions as F
 
+from gotera.operators.durable import settle
 from gotera.operators.sampling import class_sizes
 from gotera.operators.skew import stable_hash, with_hash_rank
 
-PAIRS_PER_PASS = 300
-MISSING_FREE = ("pearson", "spearman")
+METHODS = ("pearson", "spearman")
 
 
-def _has_nulls(df: DataFrame, columns: Sequence[str]) -> bool:
-    row = df.agg(*[F.count_if(F.col(c).isNull() | F.isnan(F.col(c))).alias(c) for c in columns]).head()
-    return any(row[c] for c in columns)
+def _missing(df: DataFrame, columns: Sequence[str]) -> set[str]:
+    row = df.agg(*[F.count_if(F.col(f"`{c}`").isNull()).alias(f"m{i}") for i, c in enumerate(columns)]).head()
+    return {c for i, c in enumerate(columns) if row[f"m{i}"]}
 
 
-def correlations(df: DataFrame, columns: Sequence[str], method: str = "pearson") -> dict[tuple[str, str], float]:
-    """Correlation of every pair of columns (features squared numbers, whatever the row count).
+def _matrix(numbers: DataFrame, columns: Sequence[str], method: str) -> dict[tuple[str, str], float]:
+    """Columns without missing values: one pass over assembled vectors."""
+    vectors = VectorAssembler(inputCols=list(columns), outputCol="_v").transform(numbers).select("_v")
+    matrix = Correlation.corr(vectors, "_v", method).head()[0]
+    return {(a, b): float(matrix[i, j]) for (i, a), (j, b) in combinations(enumerate(columns), 2)}
+
+
+def _pairwise_pearson(numbers: DataFrame, columns: Sequence[str]) -> dict[tuple[str, str], float]:
+    """Each pair over the rows that have both values, all pairs in one pass.
 
-    Without nulls it is one pass over assembled vectors. With nulls (pearson only) each pair skips its own nulls.
+    The sums of a pair (counts, values, squares, products over the common rows) are entries of the Gram matrix of the
+    centred values, their squares and the presence flags.
     """
-    if method not in MISSING_FREE:
-        raise ValueError(f"method must be one of {MISSING_FREE}, got {method!r}")
-    columns = list(columns)
-    numbers = df.select(*[F.col(f"`{c}`").cast("double").alias(c) for c in columns])
+    size = len(columns)
+    means = numbers.agg(*[F.avg(f"`{c}`").alias(f"m{i}") for i, c in enumerate(columns)]).head()
+    centred = [F.col(f"`{c}`") - F.lit(means[f"m{i}"] or 0.0) for i, c in enumerate(columns)]
+    parts = [F.coalesce(x, F.lit(0.0)) for x in centred] + [F.coalesce(x * x, F.lit(0.0)) for x in centred] + [
+        x.isNotNull().cast("double") for x in centred]
+    vectors = numbers.select(array_to_vector(F.array(*parts)).alias("_v"))
+    gram = RowMatrix(MLUtils.convertVectorColumnsFromML(vectors, "_v")).computeGramianMatrix().toArray()
     out = {}
-    if not _has_nulls(numbers, columns):
-        vectors = VectorAssembler(inputCols=columns, outputCol="_v").transform(numbers).select("_v")
-        matrix = Correlation.corr(vectors, "_v", method).head()[0]
-        for i, j in combinations(range(len(columns)), 2):
-            out[columns[i], columns[j]] = out[columns[j], columns[i]] = float(matrix[i, j])
-        return out
-    if method != "pearson":
-        raise ValueError("rank correlation needs columns without nulls")
-    pairs = list(combinations(columns, 2))
-    for start in range(0, len(pairs), PAIRS_PER_PASS):
-        part = pairs[start:start + PAIRS_PER_PASS]
-        row = numbers.agg(*[F.corr(a, b).alias(f"r{i}") for i, (a, b) in enumerate(part)]).head()
-        for i, (a, b) in enumerate(part):
-            value = float("nan") if row[f"r{i}"] is None else row[f"r{i}"]
-            out[a, b] = out[b, a] = value
+    for (i, a), (j, b) in combinations(enumerate(columns), 2):
+        n = gram[2 * size + i, 2 * size + j]
+        sum_a, sum_b = gram[i, 2 * size + j], gram[j, 2 * size + i]
+        var_a = gram[size + i, 2 * size + j] - sum_a * sum_a / n if n else 0.0
+        var_b = gram[size + j, 2 * size + i] - sum_b * sum_b / n if n else 0.0
+        scale = math.sqrt(var_a * var_b) if var_a > 0 and var_b > 0 else 0.0
+        out[a, b] = (gram[i, j] - sum_a * sum_b / n) / scale if n > 1 and scale > 0 else float("nan")
     return out
 
 
+def correlations(df: DataFrame, columns: Sequence[str], method: str = "pearson") -> dict[tuple[str, str], float]:
+    """Correlation of every pair of columns (features squared numbers, whatever the row count); nan where undefined.
+
+    Nulls and nan are missing, and a pair is correlated over the rows that have both. For ranks that means ranking those
+    rows anew, so each pair with a column that has missing values is a job of its own.
+    """
+    if method not in METHODS:
+        raise ValueError(f"method must be one of {METHODS}, got {method!r}")
+    columns = list(columns)
+    numbers = df.select(*[F.nanvl(F.col(f"`{c}`").cast("double"), F.lit(None).cast("double")).alias(c) for c in columns])
+    missing = _missing(numbers, columns)
+    if not missing:
+        out = _matrix(numbers, columns, method)
+    elif method == "pearson":
+        out = _pairwise_pearson(numbers, columns)
+    else:
+        numbers = settle(numbers)
+        whole = [c for c in columns if c not in missing]
+        out = _matrix(numbers, whole, method) if len(whole) > 1 else {}
+        for a, b in combinations(columns, 2):
+            if (a, b) not in out:
+                both = numbers.select(F.col(f"`{a}`").alias("a"), F.col(f"`{b}`").alias("b")).dropna()
+                out[a, b] = _matrix(both, ["a", "b"], method)["a", "b"] if len(both.head(2)) == 2 else float("nan")
+    return out | {(b, a): value for (a, b), value in out.items()}
+
+
 def correlation_table(df: DataFrame, columns: Sequence[str], method: str = "pearson") -> DataFrame:
     """The correlation matrix in long form, each pair once."""
     matrix = correlations(df, columns, method)
@@ -65,9 +99,12 @@ def select_by_correlation(
     dropped = set()
     for a, b in combinations(features, 2):
         if abs(matrix[a, b]) > threshold:
-            strength = {f: abs(matrix[f, target]) for f in (a, b)}
-            if strength[a] != strength[b]:
-                dropped.add(min(strength, key=strength.get))
+            left, right = abs(matrix[a, target]), abs(matrix[b, target])
+            # an undefined strength (nan) is neither weaker nor stronger
+            if left < right:
+                dropped.add(a)
+            elif right < left:
+                dropped.add(b)
     return [f for f in features if f not in dropped]
 
 
@@ -88,12 +125,13 @@ def select_by_constancy(df: DataFrame, features: Sequence[str], threshold: float
     return [f for f in features if shares.get(f, 0.0) <= threshold]
 
 
-def with_shadows(df: DataFrame, features: Sequence[str], keys: Sequence[str], seed: int) -> DataFrame:
-    """Add ``shadow_<f>``: the feature values of another row, by joining two hash orders of the table on their ranks."""
-    own = with_hash_rank(df.withColumn("_h", stable_hash(*keys, seed=f"own{seed}")), "_h", "_rank").drop("_h")
-    other = with_hash_rank(df.withColumn("_h", stable_hash(*keys, seed=f"other{seed}")), "_h", "_rank")
-    return own.join(
-        other.select("_rank", *[F.col(f"`{f}`").alias(f"shadow_{f}") for f in features]), "_rank").drop("_rank")
+def with_shadows(ranked: DataFrame, features: Sequence[str], rows: int, run: int) -> DataFrame:
+    """Add ``shadow_<f>``: the feature values of the row that lies a run's shift further in one fixed hash order."""
+    shift = 1 + int(hashlib.md5(f"shadow{run}".encode(), usedforsecurity=False).hexdigest(), 16) % max(rows - 1, 1)
+    other = ranked.select(
+        (F.pmod(F.col("_rank") + shift, F.lit(max(rows, 1)))).alias("_at"),
+        *[F.col(f"`{f}`").alias(f"shadow_{f}") for f in features])
+    return ranked.withColumn("_at", F.pmod(F.col("_rank"), F.lit(max(rows, 1)))).join(other, "_at").drop("_at")
 
 
 def forest_votes(
@@ -105,20 +143,29 @@ def forest_votes(
     trees: int = 20,
     depth: int = 8,
 ) -> dict[str, int]:
-    """In how many of the runs a feature outranks a random column and every shuffled copy, in a class-balanced forest."""
+    """In how many of the runs a feature outranks a random column and every shuffled copy, in a class-balanced forest.
+
+    Missing values are filled with the feature's median. The filled table is ranked once in hash order and kept; each run
+    shifts that order, joins once and keeps the vectors that its forest reads several times.
+    """
     zero, one = class_sizes(df, target)
     weight = F.when(F.col(target) == 1, F.lit((zero + one) / (2 * max(one, 1)))).otherwise(
         F.lit((zero + one) / (2 * max(zero, 1))))
+    numbers = df.select(*keys, F.col(target), *[F.col(f"`{f}`").cast("double").alias(f) for f in features])
+    filled = Imputer(strategy="median", inputCols=list(features), outputCols=[f"_filled_{f}" for f in features]).fit(numbers)
+    ready = filled.transform(numbers).select(
+        *keys, F.col(target).cast("double").alias(target), weight.alias("_weight"), stable_hash(*keys, seed="shadow").alias("_h"),
+        *[F.coalesce(f"`_filled_{f}`", F.lit(0.0)).alias(f) for f in features])
+    ranked = settle(with_hash_rank(ready, "_h", "_rank").drop("_h"))
     votes = dict.fromkeys(features, 0)
     for run in range(runs):
         noise = F.conv(F.substring(stable_hash(*keys, seed=f"noise{run}"), 1, 13), 16, 10).cast("double")
-        rows = with_shadows(df, features, keys, run).withColumns({"_noise": noise, "_weight": weight})
+        rows = with_shadows(ranked, features, zero + one, run).withColumn("_noise", noise)
         inputs = [*features, "_noise", *[f"shadow_{f}" for f in features]]
-        vectors = VectorAssembler(inputCols=inputs, outputCol="_v", handleInvalid="skip").transform(rows)
+        vectors = VectorAssembler(inputCols=inputs, outputCol="_v").transform(rows)
         forest = RandomForestClassifier(
             featuresCol="_v", labelCol=target, weightCol="_weight", maxDepth=depth, numTrees=trees, seed=run)
-        importance = forest.fit(vectors.select("_v", F.col(target).cast("double").alias(target), "_weight")
-                                ).featureImportances.toArray()
+        importance = forest.fit(settle(vectors.select("_v", target, "_weight"))).featureImportances.toArray()
         bar = max(importance[len(features):])
         for f, value in zip(features, importance):
             votes[f] += int(value > bar)

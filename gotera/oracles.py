@@ -363,17 +363,17 @@ CUTOFFS_OF_LABELS = f"WITH {ITEMS}, {LABELS}, c AS (SELECT DISTINCT date AS cuto
 
 
 def _ratio_of_curves() -> str:
-    """Areas under the ROC and precision-recall curves by trapezoids over the distinct scores."""
+    """Area under the ROC curve by trapezoids, and average precision by steps, over the distinct scores."""
     return f"""{LABELLED}, points AS (
   SELECT consumo / 4 AS score, sum(target) AS pos, count(*) - sum(target) AS neg FROM rows WHERE consumo IS NOT NULL
   GROUP BY ALL), cum AS (
   SELECT score, sum(pos) OVER w AS tp, sum(neg) OVER w AS fp, (SELECT sum(pos) FROM points) AS p,
     (SELECT sum(neg) FROM points) AS n FROM points WINDOW w AS (ORDER BY score DESC)), curve AS (
   SELECT score, tp / p AS tpr, fp / n AS fpr, tp / (tp + fp) AS prec FROM cum), steps AS (
-  SELECT tpr, fpr, prec, lag(tpr, 1, 0) OVER w AS tpr0, lag(fpr, 1, 0) OVER w AS fpr0, lag(prec, 1, prec) OVER w AS prec0
+  SELECT tpr, fpr, prec, lag(tpr, 1, 0) OVER w AS tpr0, lag(fpr, 1, 0) OVER w AS fpr0
   FROM curve WINDOW w AS (ORDER BY score DESC))
 SELECT {r6("sum((fpr - fpr0) * (tpr + tpr0) / 2)", "auc")},
-  {r6("sum((tpr - tpr0) * (prec + prec0) / 2)", "average_precision")} FROM steps"""
+  {r6("sum((tpr - tpr0) * prec)", "average_precision")} FROM steps"""
 
 
 def oracle_sql() -> dict[str, str]:

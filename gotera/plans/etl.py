@@ -17,15 +17,21 @@ SUMMARY = "source string, processed bigint, skipped bigint, total_pending bigint
 def ingest_months(
     spark: SparkSession, raw_dir: str, interim_dir: str, source: str, months: Months, file_format: str = "csv", **options
 ) -> int:
-    """Clean the given months in one job and replace their interim partitions. Returns how many were written."""
+    """Clean the given months in one job and replace their interim partitions. Returns how many were written.
+
+    A month without usable rows ends up as an empty partition, also where it had rows before.
+    """
     wanted = sorted(set(months))
     raw = read_raw(spark, raw_dir, source, wanted, file_format, **options)
     if raw is None:
         return 0
-    write_interim(CLEANERS[source](raw), interim_dir, source)
-    done = {(r["year"], r["month"]) for r in interim_months(spark, interim_dir, source).collect()}
+    listed = lambda df: {(r["year"], r["month"]) for r in df.select("year", "month").distinct().collect()}
+    cleaned = CLEANERS[source](raw)
+    before = listed(interim_months(spark, interim_dir, source)) & set(wanted)
+    write_interim(cleaned, interim_dir, source)
+    filled = listed(cleaned) if before else listed(interim_months(spark, interim_dir, source))
     for year, month in wanted:
-        if (year, month) not in done:
+        if (year, month) not in filled:
             mark_empty_month(spark, interim_dir, source, year, month)
     return len(wanted)
 

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from dataclasses import replace
+
 from pyspark.ml import PipelineModel
 from pyspark.sql import DataFrame, SparkSession
 
@@ -35,7 +37,7 @@ def run_training(
         raise ValueError("no training rows: load inspections and at least n months of consumption first")
     rows = model_input(data.withColumnRenamed("is_fraud", TARGET))
     if search:
-        settings.params = search_params(rows, settings)[1]
+        settings = replace(settings, params=search_params(rows, settings)[1])
     model = train_model(rows, settings)
     save_model(model, model_dir, settings.features)
     return model
@@ -49,11 +51,12 @@ def run_inference(
     predictions_dir: str,
     cutoff: str,
     n: int = DEFAULT_PERIODS,
-    contracts: list[str] | None = None,
+    contracts: DataFrame | list[str] | None = None,
 ) -> DataFrame:
-    """Inference dataset, model-input gate, scores, CSV."""
-    allowed = None if contracts is None else spark.createDataFrame([(c,) for c in contracts], "contrato string")
-    data = inference_dataset(spark, interim_dir, processed_dir, cutoff, n, allowed)
+    """Inference dataset, model-input gate, scores, CSV. The allow-list is a table with ``contrato``, or a short list."""
+    if isinstance(contracts, list):
+        contracts = spark.createDataFrame([(c,) for c in contracts], "contrato string")
+    data = inference_dataset(spark, interim_dir, processed_dir, cutoff, n, contracts)
     if data is None:
         raise ValueError(f"the {n} months before {cutoff} are not all loaded")
     rows = model_input(data)

@@ -25,10 +25,10 @@ def write_interim(df: DataFrame, interim_dir: str, source: str) -> None:
 
 
 def mark_empty_month(spark: SparkSession, interim_dir: str, source: str, year: int, month: int) -> None:
-    """A raw month whose rows were all dropped still counts as processed: leave a file without rows."""
+    """A raw month whose rows were all dropped still counts as processed: its partition becomes a file without rows."""
     schema = INTERIM[source]
     empty = spark.createDataFrame([], schema).drop("year", "month").coalesce(1)
-    empty.write.mode("append").parquet(f"{interim_dir}/{source}/year={year}/month={month}")
+    empty.write.mode("overwrite").option("partitionOverwriteMode", "static").parquet(f"{interim_dir}/{source}/year={year}/month={month}")
 
 
 def load_interim(

@@ -35,12 +35,12 @@ def month_of(path, source: str):
 
 
 def raw_files(spark: SparkSession, raw_dir: str, source: str) -> DataFrame | None:
-    """(root, year, month) of the raw files of a source; the root is the file or folder that carries the month."""
+    """(path, root, year, month) of the raw files of a source; the root is the file or folder that carries the month."""
     files = listed_files(spark, f"{raw_dir}/{source}", recursiveFileLookup="true")
     if files is None:
         return None
     root = F.regexp_extract("path", rf"^(.*[/=]{source}_\d{{4}}_\d{{2}}[^/]*)", 1)
-    return files.select(root.alias("root"), *[c.alias(n) for n, c in month_of(F.col("path"), source).items()]).where(
+    return files.select("path", root.alias("root"), *[c.alias(n) for n, c in month_of(F.col("path"), source).items()]).where(
         F.col("year").isNotNull())
 
 

@@ -27,9 +27,9 @@ def test_name_normaliser_on_values_agrees_with_the_one_on_names(spark):
 
 
 def test_month_parse(spark):
-    df = spark.createDataFrame([(v,) for v in ("202401", "202413", "2024-01", None, " 202402 ", "2024011")], "v string")
+    df = spark.createDataFrame([(v,) for v in ("202401", "202413", "2024-01", None, " 202402 ", "2024011", "20243", "20240")], "v string")
     assert [r[0] for r in df.select(text.month_date(F.col("v"))).collect()] == [
-        dt.date(2024, 1, 1), None, None, None, dt.date(2024, 2, 1), None]
+        dt.date(2024, 1, 1), None, None, None, dt.date(2024, 2, 1), None, dt.date(2024, 3, 1), None]
 
 
 def test_measure(spark):

@@ -1,3 +1,6 @@
+import math
+import random
+
 import pytest
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.sql import functions as F
@@ -99,6 +102,57 @@ def test_reports(spark):
     assert report.zero_scores(df).head()[0] == 2 and report.target_mean(df).head()[0] == 0.5
     assert report.score_histogram(df.where("score = 1")).collect()[0]["rows"] == 1
     assert report.ranking_quality(df) == {"auc": 1.0, "average_precision": 1.0}
+    uneven = frame(spark, [(0.8, 1), (0.7, 0), (0.4, 0), (0.35, 1), (0.1, 1)], "score double, target int")
+    assert report.ranking_quality(uneven)["average_precision"] == pytest.approx(0.7)
+    ties = frame(spark, [(0.5, i % 3 == 0) for i in range(30)], "score double, target boolean").withColumn("target", F.col("target").cast("int"))
+    assert report.average_precision(ties) == pytest.approx(1 / 3)
+
+
+def test_average_precision_matches_brute_force(spark):
+    rng = random.Random(2)
+    rows = [(rng.randrange(400) / 400, int(rng.random() < 0.3)) for _ in range(2000)]
+    found, seen, expected = 0, 0, 0.0
+    positives = sum(t for _, t in rows)
+    for score in sorted({s for s, _ in rows}, reverse=True):
+        here = [t for s, t in rows if s == score]
+        found, seen = found + sum(here), seen + len(here)
+        expected += sum(here) / positives * found / seen
+    assert report.average_precision(frame(spark, rows, "score double, target int")) == pytest.approx(expected)
+
+
+def test_dummy_names_never_collide(spark):
+    df = frame(spark, [("Residencial",), ("RESIDENCIAL",), ("A.B",), ("A`B",), ("a b",)], "categoria string")
+    fitted = encoders.DummyEncoder(cols=["categoria"]).fit(df)
+    out = fitted.transform(df.withColumn("k", F.col("categoria")))
+    names = [c for c in out.columns if c != "k"]
+    assert len({n.lower() for n in names}) == 5 and all(n.replace("_", "").isalnum() for n in names)
+    assert all(sum(r[n] for n in names) == 1 for r in out.collect())
+    with pytest.raises(ValueError):
+        encoders.RareReducer(cols=["categoria"], threshold=0.0).fit(df)
+
+
+def test_correlations_skip_missing_values_per_pair(spark):
+    rng = random.Random(5)
+    rows = [[rng.gauss(1e6, 1), rng.gauss(0, 1), rng.random()] for _ in range(300)]
+    for i, r in enumerate(rows):
+        r[1] += r[0] - 1e6
+        if i % 7 == 0:
+            r[0] = float("nan")
+        if i % 5 == 0:
+            r[1] = None
+    df = frame(spark, [tuple(r) + (1.0,) for r in rows], "a double, b double, c double, flat double")
+    table = df.toPandas()
+    for method in ("pearson", "spearman"):
+        got = selection.correlations(df, ["a", "b", "c"], method)
+        expected = table[["a", "b", "c"]].corr(method)
+        for x, y in (("a", "b"), ("a", "c"), ("b", "c")):
+            assert got[x, y] == pytest.approx(expected.loc[x, y], abs=1e-9)
+    assert math.isnan(selection.correlations(df, ["a", "flat"])["a", "flat"])
+
+
+def test_undefined_target_correlation_drops_nothing(spark):
+    df = spark.range(50).select(F.col("id").cast("double").alias("a"), (F.col("id") * 2).cast("double").alias("b"), F.lit(1).alias("target"))
+    assert selection.select_by_correlation(df, ["a", "b"]) == ["a", "b"]
 
 
 def test_selection(spark):
@@ -148,3 +202,30 @@ def test_search_space():
     draws = modelling.draw_params()
     assert len(draws) == 60 and draws == modelling.draw_params()
     assert all(5 <= d["max_depth"] < 20 and 0.01 <= d["learning_rate"] <= 0.11 for d in draws)
+
+
+def test_best_round_has_patience():
+    assert modelling.best_round([0.5, 0.6, 0.6, 0.59, 0.58], 3) == (2, True)
+    assert modelling.best_round([0.5, 0.6, 0.6, 0.61], 3) == (4, False)
+    assert modelling.best_round([float("nan")] * 4, 2) == (4, False)
+
+
+def test_slow_learning_keeps_many_trees(spark):
+    rng = random.Random(11)
+    rows = []
+    for i in range(1500):
+        x = [rng.gauss(0, 1) for _ in range(4)]
+        rows.append((str(i), *x, int(x[0] + x[1] * x[2] + rng.gauss(0, 0.7) > 0)))
+    df = frame(spark, rows, "k string, a double, b double, c double, d double, target int")
+    settings = modelling.TrainingSettings(features=["a", "b", "c", "d"], keys=["k"], preprocessor=-1, sampling="none",
+                                          params={"learning_rate": 0.05, "n_estimators": 60, "max_depth": 3, "min_child_samples": 10})
+    model = modelling.train_model(df, settings)
+    assert model.stages[-1].getNumTrees > 15
+    _, held = modelling.held_apart(df, settings)
+    scored = modelling.score(model, held)
+    assert report.ranking_quality(scored)["auc"] > 0.8
+    vectors = model.transform(held).select("features", F.col("target").cast("double").alias("target"))
+    last = list(modelling.round_aucs(model.stages[-1], vectors))[-1]
+    assert last == pytest.approx(report.ranking_quality(scored)["auc"], abs=0.01)
+    with pytest.raises(ValueError):
+        modelling.boosted_trees({"max_depth": 31})

@@ -66,13 +66,50 @@ def test_positions_follow_the_file(spark, zone):
     assert [r["niu"] for r in loaded] == [f"c{i}" for i in range(2000)]
 
 
-def test_other_header_is_refused(spark, zone):
-    put(zone, (2024, 1), ["a,202401,5,"])
-    put(zone, (2024, 2), ["5,a,202401,"], header="Consumo,NIU,Fecha mes,Barrio")
+def test_months_with_other_headers(spark, zone):
+    put(zone, (2024, 1), ["a,202401,5,x"])
+    put(zone, (2024, 2), ["6,b,20242,y,E"], header="Consumo,NIU,Fecha mes,Barrio,Estado")
+    assert run(spark, zone) == [("consumo", 2, 0, 2)]
+    loaded = interim.load_interim(spark, f"{zone}/interim", "consumo")
+    assert as_set(loaded, "contrato", "consumo", "barrio", "estado", "file_month") == {
+        ("a", 5.0, "x", None, 202401), ("b", 6.0, "y", "E", 202402)}
+
+
+def test_other_header_inside_a_month_is_refused(spark, zone):
+    put(zone, (2024, 1), ["a,202401,5,x"])
+    folder = zone / "raw" / "consumo" / "consumo_2024_01"
+    folder.mkdir()
+    (zone / "raw" / "consumo" / "consumo_2024_01.csv").rename(folder / "a.csv")
+    (folder / "b.csv").write_text("Consumo,NIU,Fecha mes,Barrio\n5,a,202401,\n")
     with pytest.raises(Exception, match="(?i)header"):
         run(spark, zone)
 
 
+@pytest.mark.parametrize("file_format", ["csv", "parquet"])
+def test_positions_do_not_depend_on_the_files_of_a_month(spark, zone, file_format):
+    rows = [(f"c{i}", "202401", str(i), "x") for i in range(60)]
+    df = spark.createDataFrame(rows, "niu string, fecha_mes string, consumo string, barrio string")
+    for month, parts in ((1, 1), (2, 5)):
+        folder = f"{zone}/raw/consumo/consumo_2024_{month:02d}"
+        df.coalesce(1).sortWithinPartitions(F.col("consumo").cast("int")).write.option("header", True).option(
+            "maxRecordsPerFile", 60 // parts).format(file_format).save(folder)
+    loaded = raw.read_raw(spark, f"{zone}/raw", "consumo", file_format=file_format)
+    order = {m: [r["niu"] for r in loaded.where(F.col("month") == m).orderBy("pos").collect()] for m in (1, 2)}
+    assert order[1] == order[2] == [f"c{i}" for i in range(60)]
+    assert loaded.where("month = 2").select("pos").distinct().count() == 60
+
+
+def test_overwrite_empties_a_month_that_lost_its_rows(spark, zone):
+    put(zone, (2024, 1), ["a,202401,5,"])
+    put(zone, (2024, 2), ["b,202402,6,"])
+    run(spark, zone)
+    put(zone, (2024, 1), ["a,bad,5,"])
+    assert run(spark, zone, overwrite=True) == [("consumo", 2, 0, 2)]
+    loaded = interim.load_interim(spark, f"{zone}/interim", "consumo")
+    assert as_set(loaded, "contrato", "file_month") == {("b", 202402)}
+    assert months(listing.processed_months(spark, f"{zone}/interim", "consumo")) == [(2024, 1), (2024, 2)]
+
+
 def test_parquet_files(spark, zone):
     df = spark.createDataFrame([("a", "202401", "5")], "niu string, fecha_mes string, consumo string")
     df.write.parquet(f"{zone}/raw/consumo/consumo_2024_01.parquet")
