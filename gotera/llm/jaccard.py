@@ -21,9 +21,12 @@ PERCENT = 80
 #: Shared prefix tokens that a pair has at least: a twentieth of the set, and 16 where the set is large enough.
 LEAST_SHARED, SHARE = 16, 20
 CELL_DOCS = 2_048
+CELL_SHINGLES = 1_000_000
 KNOWN_WORDS = 300_000
 KNOWN_TEXTS = 200_000
 DIVIDE_MU = 0.01
+HEAP_POSTINGS = 64
+LONG_LIST = 1_024
 
 
 class WordHashes(dict):
@@ -67,22 +70,12 @@ def shared_at_least(n: int, percent: int) -> int:
     return min(at_least(n, percent), max(LEAST_SHARED, -(-n // SHARE)))
 
 
-def shared_by_pair(n: int, m: int, percent: int) -> int:
-    """Prefix tokens that similar sets of n and m share at least.
+def lowest_shared_column(n: Column, percent: int) -> Column:
+    """What a set of n shares at least of its posted hashes with any similar set (one less for what rounding can take).
 
-    They share o = percent / (100 + percent) of n + m or more. For any k, they then share k of their n - o + k and
-    m - o + k smallest hashes; the largest k for which the posted prefixes reach that far is taken.
+    Similar sets of n and m share o = percent / (100 + percent) of n + m or more. For any k, they then share k of their
+    n - o + k and m - o + k smallest hashes, and both posted prefixes reach that far for k up to the smaller l.
     """
-    least = -(-percent * (n + m) // (100 + percent))
-    return min(least - at_least(size, percent) + shared_at_least(size, percent) for size in (n, m))
-
-
-def lowest_shared(n: int, percent: int) -> int:
-    """What ``shared_by_pair`` is at least, whatever the other set (one less for what rounding can take)."""
-    return max(1, shared_at_least(n, percent) - 1)
-
-
-def lowest_shared_column(n: Column, percent: int) -> Column:
     least = F.least(F.floor((n * percent + 99) / 100), F.greatest(F.lit(LEAST_SHARED), F.ceil(n / SHARE)))
     return F.greatest(F.lit(1), least - 1).cast("bigint")
 
@@ -253,61 +246,108 @@ def merge_skip(lists: list[list[int]], need: int) -> Iterator[tuple[int, int]]:
                 heapq.heappush(heap, (lists[i][at[i]], i))
 
 
-def divide_skip(lists: list[list[int]], need: int) -> Iterator[tuple[int, int]]:
-    """T-occurrence: the longest lists are set aside and probed by binary search, the short ones merged by heap."""
-    if len(lists) < need:
-        return
-    lists = sorted(lists, key=len, reverse=True)
-    aside = min(need - 1, int(need / (DIVIDE_MU * math.log2(len(lists[0]) + 1) + 1)))
-    long, short = lists[:aside], lists[aside:]
-    for member, count in merge_skip(short, need - aside):
-        for done, l in enumerate(long):
-            if count + len(long) - done < need:
-                break
-            at = bisect_left(l, member)
-            count += at < len(l) and l[at] == member
-        if count >= need:
-            yield member, count
+def divide_skip(members: np.ndarray, starts: np.ndarray, ends: np.ndarray, need: int) -> tuple[np.ndarray, np.ndarray]:
+    """T-occurrence: members of at least ``need`` of the sorted lists members[start:end], and in how many they are.
+
+    The longest lists are set aside; what is left is merged, and the members found often enough are probed in the lists
+    set aside by binary search, all at once. Few postings are merged by heap, many by counting members in place, which
+    numpy does faster than a heap can skip; a list shorter than ``LONG_LIST`` costs less to count than to probe.
+    """
+    none = np.zeros(0, np.int64), np.zeros(0, np.int64)
+    long_enough = ends - starts
+    if len(long_enough) < need:
+        return none
+    order = np.argsort(-long_enough, kind="stable")
+    aside = min(need - 1, int(need / (DIVIDE_MU * math.log2(long_enough[order[0]] + 1) + 1)),
+                int(np.count_nonzero(long_enough > LONG_LIST)))
+    long, short = order[:aside], order[aside:]
+    sizes = long_enough[short]
+    if sizes.sum() <= HEAP_POSTINGS:
+        merged = list(merge_skip([members[starts[i]:ends[i]].tolist() for i in short], need - aside))
+        if not merged:
+            return none
+        found, counts = (np.array(c, np.int64) for c in zip(*merged))
+    else:
+        before = np.cumsum(sizes) - sizes
+        times = np.bincount(members[np.repeat(starts[short] - before, sizes) + np.arange(sizes.sum())])
+        found = np.flatnonzero(times >= need - aside)
+        counts = times[found]
+    for done, i in enumerate(long):
+        probed = members[starts[i]:ends[i]]
+        at = np.minimum(np.searchsorted(probed, found), len(probed) - 1)
+        counts = counts + (probed[at] == found)
+        hopeful = counts + (len(long) - done - 1) >= need
+        found, counts = found[hopeful], counts[hopeful]
+    return found[counts >= need], counts[counts >= need]
+
+
+class CellIndex:
+    """Inverted lists of the whole sets of a cell's documents, as slices of one array sorted by token."""
+
+    def __init__(self, docs: list[tuple], percent: int):
+        self.n = np.array([len(d[2]) for d in docs], np.int64)
+        tokens = np.concatenate([d[2] for d in docs])
+        order = np.argsort(tokens, kind="stable")
+        self.tokens, first = np.unique(tokens[order], return_index=True)
+        self.ends = np.r_[first, len(tokens)]
+        self.members = np.repeat(np.arange(len(docs)), self.n)[order]
+        self.percent = percent
+
+    def similar(self, whole: np.ndarray) -> np.ndarray:
+        """Numbers of the documents that are similar to the asking one, the most alike first."""
+        at = np.searchsorted(self.tokens, whole)
+        here = at < len(self.tokens)
+        at = at[here][self.tokens[at[here]] == whole[here]]
+        found, met = divide_skip(self.members, self.ends[at], self.ends[at + 1], at_least(len(whole), self.percent))
+        linked = 100 * met >= self.percent * (len(whole) + self.n[found] - met)
+        return found[linked][np.argsort(-met[linked], kind="stable")]
 
 
 def search_cells(percent: int):
-    """Streams cells sorted with their indexed documents first; each asking document is searched in the cell's lists."""
+    """Streams cells sorted with their indexed documents first; each asking document is searched in the cell's lists.
+
+    A link joins two components for the rest of the cell, so of the links between two components one is given.
+    """
     def run(batches):
-        cell, docs, lists = None, [], None
+        cell, docs, index, label = None, [], None, {}
+
+        def root(comp: int) -> int:
+            while label.get(comp, comp) != comp:
+                comp = label[comp]
+            return comp
+
         for batch in batches:
             found = []
-            columns = [batch.column(i).to_pylist() for i in range(6)]
-            for i, (lead, part, turn, cls, n, comp) in enumerate(zip(*columns)):
+            columns = [batch.column(i).to_pylist() for i in range(5)]
+            for i, (lead, part, turn, cls, comp) in enumerate(zip(*columns)):
                 if (lead, part) != cell:
-                    cell, docs, lists = (lead, part), [], None
-                tokens = batch.column(6)[i].values.to_numpy(zero_copy_only=False)
+                    cell, docs, index, label = (lead, part), [], None, {}
+                whole = np.frombuffer(batch.column(5)[i].as_py(), np.uint64)
                 if turn == 0:
-                    docs.append((cls, n, comp, tokens))
+                    docs.append((cls, comp, whole))
                     continue
-                if lists is None:
-                    lists = {}
-                    for number, doc in enumerate(docs):
-                        for t in doc[3].tolist():
-                            lists.setdefault(t, []).append(number)
-                met = [lists[t] for t in tokens.tolist() if t in lists]
-                for number, count in divide_skip(met, lowest_shared(n, percent)):
-                    other, size, theirs, _ = docs[number]
-                    if theirs != comp and 100 * min(n, size) >= percent * max(n, size) and count >= shared_by_pair(n, size, percent):
-                        found.append((min(cls, other), max(cls, other)))
+                index = index or CellIndex(docs, percent)
+                for number in index.similar(whole).tolist():
+                    mine, theirs = root(comp), root(docs[number][1])
+                    if mine != theirs:
+                        found.append((cls, docs[number][0]))
+                        label[max(mine, theirs)] = min(mine, theirs)
             yield pa.RecordBatch.from_arrays([pa.array([p[i] for p in found], pa.int64()) for i in range(2)], names=["a", "b"])
 
     return run
 
 
-def across(posted: DataFrame, classes: DataFrame, labels: DataFrame, percent: int) -> DataFrame:
-    """Pairs of classes in different components that share enough prefix tokens, found by DivideSkip in cells.
+def across(posted: DataFrame, classes: DataFrame, labels: DataFrame, percent: int, sets_of) -> DataFrame:
+    """Links (a, b) between classes of different components, found by DivideSkip on the whole sets of a cell.
+
+    ``sets_of`` gives (cls, tokens), the whole sets, of a table of classes.
 
     Links inside a component change nothing, so a token matters only where its documents lie in two or more components,
     and a document only where it has enough such tokens. Of its tokens, rarest first, all but the last l - 1 send it to
     cells: similar documents have one of these in common. The cell of a token is named by the first document of its
     list, so documents that share many tokens still meet in few cells. The largest component of a cell is indexed but
-    does not ask, so a component with a third of all documents is not searched for itself. Cells over 2,048 documents
-    are dealt into parts that every asking document visits.
+    does not ask, so a component with a third of all documents is not searched for itself. Cells over 2,048 documents or
+    a million shingles are dealt into parts that every asking document visits.
     """
     sizes = labels.groupBy("comp").agg(F.count("*").alias("size"))
     known = classes.select("cls", "n").join(labels.withColumnRenamed("node", "cls"), "cls", "left").withColumn(
@@ -324,20 +364,21 @@ def across(posted: DataFrame, classes: DataFrame, labels: DataFrame, percent: in
         .where(F.size("held") >= lowest)
     )
     sent = F.array_distinct(F.transform(F.slice("held", F.lit(1), F.size("held") - lowest.cast("int") + 1), lambda h: h["lead"]))
-    routed = stored(docs.select("cls", "n", "comp", "size", F.array_sort(F.transform("held", lambda h: h["token"])).alias("tokens"),
-                                F.explode(sent).alias("lead")), "routed")
+    routed = stored(docs.select("cls", "n", "comp", "size", F.explode(sent).alias("lead")), "routed")
     cells = routed.groupBy("lead").agg(
         F.min("comp").alias("low"), F.max("comp").alias("high"), F.max(F.struct("size", "comp")).alias("big"),
-        F.ceil(F.count("*") / CELL_DOCS).cast("int").alias("parts")).where("low <> high").select("lead", "big.comp", "parts").withColumnRenamed(
+        F.greatest(F.ceil(F.count("*") / CELL_DOCS), F.ceil(F.sum("n") / CELL_SHINGLES)).cast("int").alias("parts")).where("low <> high").select("lead", "big.comp", "parts").withColumnRenamed(
         "comp", "big")
     every, own = F.sequence(F.lit(0), F.col("parts") - 1), F.pmod(F.xxhash64("cls"), F.col("parts").cast("bigint")).cast("int")
     visits = F.concat(F.array(F.struct(own.alias("part"), F.lit(0).alias("turn"))), F.when(
         F.col("comp") != F.col("big"), F.transform(every, lambda p: F.struct(p.alias("part"), F.lit(1).alias("turn")))
     ).otherwise(F.array().cast("array<struct<part:int,turn:int>>")))
-    visiting = routed.join(cells, "lead").select("lead", F.explode(visits).alias("v"), "cls", "n", "comp", "tokens").select(
-        "lead", "v.part", "v.turn", "cls", "n", "comp", "tokens")
+    meeting = stored(routed.join(cells, "lead").select("lead", "cls", "comp", "big", "parts"), "meeting")
+    whole = sets_of(meeting.select("cls").distinct())
+    visiting = meeting.join(whole, "cls").select("lead", F.explode(visits).alias("v"), "cls", "comp", "tokens").select(
+        "lead", "v.part", "v.turn", "cls", "comp", "tokens")
     return visiting.repartition("lead", "part").sortWithinPartitions("lead", "part", "turn").mapInArrow(
-        search_cells(percent), "a bigint, b bigint").distinct()
+        search_cells(percent), "a bigint, b bigint")
 
 
 def label_sets(df: DataFrame, text: str = "text", key: str = "doc_id", width: int = WIDTH,
@@ -368,9 +409,10 @@ def label_sets(df: DataFrame, text: str = "text", key: str = "doc_id", width: in
         F.col("met") * 2 >= lowest).select(F.col("lead").alias("a"), F.col("cls").alias("b"))
     first_links = verified(source, "text", width, percent, stored(star, "star"), alive)
     labels = connected(first_links)
-    pairs = stored(across(posted, alive, labels, percent), "across")
-    if not pairs.isEmpty():
-        labels = connected(first_links.unionByName(verified(source, "text", width, percent, pairs, alive)))
+    sets_of = lambda wanted: whole_sets(source, "text", width, wanted.join(alive.select("cls", "text_hash"), "cls"))
+    more = stored(across(posted, alive, labels, percent, sets_of), "across")
+    if not more.isEmpty():
+        labels = connected(first_links.unionByName(more))
     marked = rows.join(labels.withColumnRenamed("node", "cls"), "cls", "left")
     return marked.select("id", "text_hash", "n", F.when(F.col("n") > 0, F.coalesce("comp", "cls")).alias("comp"))
 
