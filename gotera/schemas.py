@@ -45,7 +45,6 @@ INTERIM = {
     ),
 }
 
-# Attributes whose distinct values and changes over time are counted.
 # Attributes whose changes are counted, attributes taken from the latest row, and label columns.
 TRACKED = ["categoria", "estado", "determinacion_consumo"]
 
