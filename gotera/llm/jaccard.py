@@ -326,6 +326,8 @@ def search_cells(percent: int):
                 if turn == 0:
                     docs.append((cls, comp, whole))
                     continue
+                if not docs:  # a part of a few very long documents can hold none of them
+                    continue
                 index = index or CellIndex(docs, percent)
                 for number in index.similar(whole).tolist():
                     mine, theirs = root(comp), root(docs[number][1])

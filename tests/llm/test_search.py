@@ -155,6 +155,19 @@ def test_cells_alone_find_every_link(spark, monkeypatch):
     assert got == dict(enumerate(components_of(texts))) and len(calls) == 1 and calls[0] > 0
 
 
+def test_parts_without_documents_are_passed_over(spark, monkeypatch):
+    """Four documents, each longer than a part, are dealt into more parts than there are documents."""
+    monkeypatch.setattr(jaccard, "CELL_SHINGLES", 25)
+    whole = jaccard.verified
+    monkeypatch.setattr(jaccard, "verified", lambda df, text, width, percent, pairs, classes: whole(
+        df, text, width, percent, pairs.limit(0), classes))
+    base = [f"w{i}" for i in range(60)]
+    texts = [" ".join(base[:60 - i]) for i in range(4)]
+    df = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    got = {r["doc_id"]: (r["n_shingles"], r["component_id"]) for r in jaccard.join_components(df).collect()}
+    assert got == dict(enumerate(components_of(texts)))
+
+
 def test_join_of_null_keys_and_repeats(spark):
     rows = [(None, "a b c d e f g"), (5, "a b c d e f g"), (4, "A b c d e f g"), (4, "A b c d e f g"), (4, None), (None, None), (9, "z")]
     df = spark.createDataFrame(rows, "doc_id long, text string")
