@@ -19,6 +19,7 @@ SEED = 7
 INDEX_PER_CELL = 4_096
 QUERIES_PER_CELL = 1_024
 PENDING = 1_000_000
+BAND_STEP = 0x9E3779B97F4A7C15
 HASH_SCHEMA = "kind int, vid bigint, least bigint, vector array<float>, tab int, bucket bigint"
 CELL = ["tab", "bucket", "part", "deal"]
 
@@ -60,35 +61,41 @@ def projections(size: int, hashes: int, tables: int, width: float) -> Iterator[t
                rng.integers(-2**62, 2**62, hashes, dtype=np.int64) * 2 + 1)
 
 
-def hashed(vectors: DataFrame, largest: float, hashes: int, tables: int, width: float, probes: int,
+def hashed(vectors: DataFrame, bands: dict[int, list[tuple[int, float, int]]], tables: int, width: float,
            with_vectors: bool = True) -> DataFrame:
-    """A row per table (and, for queries, per probed bucket) of (kind, vid, least, vector).
+    """A row per table (and, for queries, per probed bucket) of (kind, vid, least, vector, band).
 
-    Largest inner products become nearest points: indexed vectors are scaled by the largest norm and get the component
-    that puts them on the unit sphere, queries are scaled to it. Vectors of other lengths use other directions.
+    Largest inner products become nearest points: indexed vectors are scaled by the largest norm of their band and get
+    the component that puts them on the unit sphere, queries are scaled to it. ``bands`` lists (band, largest norm, hash
+    functions) by length of vector; each band has its own buckets, and queries probe those of every band of their length.
     """
     def run(batches):
         for batch in batches:
-            kind, vid, least = (batch.column(i).to_numpy(zero_copy_only=False) for i in range(3))
+            kind, band = (batch.column(i).to_numpy(zero_copy_only=False) for i in (0, 4))
             rows = [np.asarray(v, dtype=np.float32) for v in batch.column(3).to_numpy(zero_copy_only=False)]
             out = []
             for size in {len(r) for r in rows}:
-                at = np.array([i for i, r in enumerate(rows) if len(r) == size])
-                data = np.stack([rows[i] for i in at]).astype(np.float64)
-                norm = np.linalg.norm(data, axis=1)
-                scale = np.where(kind[at] == 1, norm, largest)
-                unit = data / scale[:, None]
-                added = np.where(kind[at] == 1, 0.0, np.sqrt(np.maximum(0.0, 1 - (unit * unit).sum(axis=1))))
-                points = np.concatenate([unit, added[:, None]], axis=1)
-                for tab, (a, b, odd) in enumerate(projections(size, hashes, tables, width)):
-                    placed = (points @ a + b) / width
-                    slots = np.floor(placed).astype(np.int64)
-                    keys = (slots * odd).sum(axis=1) + size
-                    for j, i in enumerate(at):
-                        moves = probing_order(placed[j] - slots[j], probes) if kind[i] == 1 else [()]
-                        for moved in moves:
-                            shift = sum((int(odd[h]) * step for h, step in moved), 0)
-                            out.append((i, tab, (int(keys[j]) + shift + 2**63) % 2**64 - 2**63))
+                every = np.array([i for i, r in enumerate(rows) if len(r) == size])
+                for number, largest, hashes in bands.get(size, []):
+                    at = every[(kind[every] == 1) | (band[every] == number)]
+                    if not len(at):
+                        continue
+                    data = np.stack([rows[i] for i in at]).astype(np.float64)
+                    norm = np.linalg.norm(data, axis=1)
+                    scale = np.where(kind[at] == 1, norm, largest)
+                    unit = data / scale[:, None]
+                    added = np.where(kind[at] == 1, 0.0, np.sqrt(np.maximum(0.0, 1 - (unit * unit).sum(axis=1))))
+                    points = np.concatenate([unit, added[:, None]], axis=1)
+                    probes, mark = probes_for(hashes), size + number * BAND_STEP
+                    for tab, (a, b, odd) in enumerate(projections(size, hashes, tables if hashes else 1, width)):
+                        placed = (points @ a + b) / width
+                        slots = np.floor(placed).astype(np.int64)
+                        keys = (slots * odd).sum(axis=1)
+                        for j, i in enumerate(at):
+                            moves = probing_order(placed[j] - slots[j], probes) if kind[i] == 1 else [()]
+                            for moved in moves:
+                                shift = mark + sum((int(odd[h]) * step for h, step in moved), 0)
+                                out.append((i, tab, (int(keys[j]) + shift + 2**63) % 2**64 - 2**63))
             for start in range(0, len(out), 20_000):
                 part = out[start:start + 20_000]
                 take = np.array([p[0] for p in part])
@@ -236,15 +243,16 @@ def dealt(rows: DataFrame, counts: DataFrame) -> DataFrame:
     )
 
 
-def candidates(index: DataFrame, queries: DataFrame, largest: float, hashes: int, tables: int, width: float, probes: int,
-               keep: int) -> DataFrame:
+def candidates(index: DataFrame, queries: DataFrame, bands: dict[int, list[tuple[int, float, int]]], tables: int,
+               width: float, keep: int) -> DataFrame:
     """(query, vid, least, score): for each query its best distinct vectors among the buckets it probes."""
-    shape = ["kind", "vid", "least", "vector"]
-    both = index.select(F.lit(0).alias("kind"), "vid", "least", "vector").unionByName(
-        queries.select(F.lit(1).alias("kind"), "vid", F.lit(0).cast("bigint").alias("least"), "vector")).select(*shape)
-    counts = hashed(both, largest, hashes, tables, width, probes, with_vectors=False).groupBy("tab", "bucket").agg(
+    shape = ["kind", "vid", "least", "vector", "band"]
+    both = index.select(F.lit(0).alias("kind"), "vid", "least", "vector", "band").unionByName(
+        queries.select(F.lit(1).alias("kind"), "vid", F.lit(0).cast("bigint").alias("least"), "vector",
+                       F.lit(0).alias("band"))).select(*shape)
+    counts = hashed(both, bands, tables, width, with_vectors=False).groupBy("tab", "bucket").agg(
         F.count(F.when(F.col("kind") == 0, 1)).alias("n_index"), F.count(F.when(F.col("kind") == 1, 1)).alias("n_query"))
-    cells = dealt(hashed(both, largest, hashes, tables, width, probes), counts)
+    cells = dealt(hashed(both, bands, tables, width), counts)
     met = cells.repartition(*CELL).sortWithinPartitions(*CELL, "turn").mapInArrow(
         search_cells(keep), PACKED)
     return met.repartition("query").sortWithinPartitions("query").mapInArrow(
@@ -256,8 +264,9 @@ def nearest(df: DataFrame, query_of, k: int = 20, vec_id: str = "vec_id", vector
     """(query_id, rank, vec_id, score): the ``k`` largest inner products found for every row that ``query_of`` (a
     condition on the id column) selects, over all rows but the query's own; nearest first, ties to the smaller id.
 
-    All distinct vectors are indexed. Each table concatenates p-stable hashes; a query looks into its own bucket and the
-    buckets next to it in the order of their estimated chance, in every table, and what the tables give is merged and
+    All distinct vectors are indexed, by bands of norms (factors of two about the powers of two), so a few long vectors do
+    not press the others together; small bands have coarse buckets. Each table concatenates p-stable hashes; a query looks into its own bucket and the
+    buckets next to it in the order of their estimated chance, in every table and band, and what the tables give is merged and
     scored exactly in double precision on the original vectors. Queries that found fewer than ``k``
     others while there are more look at all of them.
 
@@ -272,22 +281,26 @@ def nearest(df: DataFrame, query_of, k: int = 20, vec_id: str = "vec_id", vector
         "forall(vector, x -> x is not null and not isnan(x) and abs(x) < cast('inf' as float)) and "
         "exists(vector, x -> x <> 0)")
     keep = k + 1
+    norm = F.sqrt(F.aggregate("vector", F.lit(0.0), lambda acc, x: acc + x.cast("double") * x.cast("double")))
     first = Window.partitionBy("vector").orderBy("vec_id")
     index = stored(
         usable.withColumn("n", F.row_number().over(first)).where(F.col("n") <= keep)
         .groupBy("vector").agg(F.sort_array(F.collect_list("vec_id")).alias("ids"))
-        .select(F.xxhash64("vector").alias("vid"), F.element_at("ids", 1).alias("least"), "ids", "vector"), "vectors")
+        .select(F.xxhash64("vector").alias("vid"), F.element_at("ids", 1).alias("least"), "ids", "vector", norm.alias("norm"))
+        .withColumn("band", F.round(F.log2("norm")).cast("int")), "vectors")
     asking = usable.where(query_of(F.col("vec_id"))).select("vec_id", F.xxhash64("vector").alias("vid"), "vector").distinct()
     queries = asking.groupBy("vid").agg(F.first("vector").alias("vector"))
-    norms = F.aggregate("vector", F.lit(0.0), lambda acc, x: acc + x.cast("double") * x.cast("double"))
-    size = index.agg(F.count("*").alias("n"), F.sqrt(F.max(norms)).alias("largest")).first()
-    hashes = hashes_for(size["n"])
-    largest = float(size["largest"] or 1.0)
-    found = stored(candidates(index, queries, largest, hashes, tables, width, probes_for(hashes), keep), "found")
-    enough = found.groupBy("query").count().where(F.col("count") >= min(keep, size["n"])).select(F.col("query").alias("vid"))
+    count = index.count()
+    bands: dict[int, list[tuple[int, float, int]]] = {}
+    for r in index.groupBy(F.size("vector").alias("size"), "band").agg(
+            F.count("*").alias("n"), F.max("norm").alias("largest")).collect():
+        bands.setdefault(r["size"], []).append((r["band"], r["largest"], hashes_for(r["n"])))
+    found = stored(candidates(index, queries, bands, tables, width, keep), "found")
+    enough = found.groupBy("query").count().where(F.col("count") >= min(keep, count)).select(F.col("query").alias("vid"))
     lacking = stored(queries.join(enough, "vid", "left_anti"), "lacking")
-    if hashes and not lacking.isEmpty():
-        whole = candidates(index, lacking, largest, 0, 1, width, 1, keep)
+    if any(hashes for held in bands.values() for _, _, hashes in held) and not lacking.isEmpty():
+        coarse = {size: [(band, largest, 0) for band, largest, _ in held] for size, held in bands.items()}
+        whole = candidates(index, lacking, coarse, 1, width, keep)
         found = found.join(lacking.select(F.col("vid").alias("query")), "query", "left_anti").unionByName(whole)
     spread = found.join(index.select("vid", "ids"), "vid").select("query", "score", F.explode("ids").alias("vec_id"))
     order = Window.partitionBy("query").orderBy(F.desc("score"), "vec_id")

@@ -58,6 +58,24 @@ def test_recall_and_large_cells(spark, sf_dir, monkeypatch):
     assert np.mean(recall) >= 0.9
 
 
+def test_one_long_vector_costs_no_recall(spark):
+    """Scaled by one norm for all, single queries of this table found none of their neighbours."""
+    data = np.random.default_rng(5).normal(size=(2_000, 64))
+    data /= np.linalg.norm(data, axis=1)[:, None]
+    data[7] *= 4
+    data = data.astype(np.float32).astype(np.float64)
+    df = spark.createDataFrame([(i, v.tolist()) for i, v in enumerate(data)], "vec_id long, embedding array<float>")
+    found = {}
+    for r in neighbours.nearest(df, lambda v: v % 20 == 0).collect():
+        found.setdefault(r["query_id"], set()).add(r["vec_id"])
+    recall = []
+    for i in range(0, 2_000, 20):
+        score = data @ data[i]
+        score[i] = -9
+        recall.append(len(found[i] & set(np.argsort(-score)[:20].tolist())) / 20)
+    assert np.mean(recall) >= 0.95 and min(recall) >= 0.6
+
+
 def test_divide_skip_is_the_t_occurrence_count(monkeypatch):
     rng = random.Random(1)
     for _ in range(300):
