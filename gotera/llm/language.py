@@ -29,7 +29,7 @@ def learn(labelled: DataFrame, text: str = "text", lang: str = "lang", rows: int
           size: int = DICTIONARY_BYTES) -> dict[str, bytes]:
     """A raw-content dictionary per language of ``labelled``, the most frequent language first.
 
-    The sample is bounded: of each language the ``rows`` texts with the smallest md5, an excerpt of 400 characters from a
+    The sample is bounded: of each language the ``rows`` distinct texts with the smallest md5, an excerpt of 400 characters from a
     hashed place of each, up to ``size`` bytes. So languages * 64 kB reach the driver and the executors, whatever the
     table. Rows with a null text or language, or without a letter, are left out. Rows are ranked in two steps, so a
     language with most of the rows is not gathered in one task.
@@ -41,7 +41,8 @@ def learn(labelled: DataFrame, text: str = "text", lang: str = "lang", rows: int
         quoted(lang).cast("string").alias("lang"), F.md5(body).alias("mark"),
         F.lower(F.substring(body, start, F.lit(EXCERPT_CHARS))).alias("excerpt"))
     found: dict[str, list[tuple[str, str]]] = {}
-    for row in smallest_per_group(usable, ["lang"], "mark", rows).collect():
+    chosen = smallest_per_group(usable.select("lang", "mark").distinct(), ["lang"], "mark", rows)
+    for row in usable.join(F.broadcast(chosen), ["lang", "mark"]).dropDuplicates(["lang", "mark"]).collect():
         found.setdefault(row["lang"], []).append((row["mark"], row["excerpt"]))
     rows_of = {r["lang"]: r["count"] for r in learned.groupBy(quoted(lang).cast("string").alias("lang")).count().collect()}
     return {name: "\n".join(excerpt for _, excerpt in sorted(found[name])).encode()[:size]

@@ -61,6 +61,13 @@ def test_held_out_accuracy(spark, sf_dir):
     assert right / n > 0.93 and rejected / n < 0.03
 
 
+def test_copies_take_one_place_of_the_sample(spark):
+    texts = sorted((f"text {chr(97 + i)}" for i in range(10)), key=lambda t: hashlib.md5(t.encode()).hexdigest())
+    rows = [(t, "en") for t in texts[:1] * 300 + texts[1:] + texts[1:]]
+    known = language.learn(spark.createDataFrame(rows, "text string, lang string"), rows=5)
+    assert known == {"en": "\n".join(texts[:5]).encode()}
+
+
 def test_language_of_odd_texts(spark):
     given = spark.createDataFrame([(1, None, "en"), (2, "", "en"), (3, "123 !?", None), (4, "hello there", None)],
                                   "doc_id long, text string, score string")
