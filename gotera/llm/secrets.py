@@ -3,6 +3,8 @@
 from __future__ import annotations
 
 import functools
+import math
+import sys
 
 from pyspark.sql import Column, DataFrame, functions as F
 
@@ -33,7 +35,9 @@ ENCODINGS = [
     (r"", UPPER + LOWER + DIGITS + "+/", 0.0667),
 ]
 LENGTH_EDGES = (20, 32, 48, 64)
-BIN_WIDTH, BINS = 0.05, 160
+BIN_WIDTH = 0.05
+MOST_TOKENS = 2**63
+FAR = -5.0
 FALSE_DISCOVERY_RATE = 0.01
 BATTERY_LEVEL = 0.001
 RUN = 1_000
@@ -88,6 +92,14 @@ def normal_below(z: Column) -> Column:
     return F.when(z > 0, 1 - tail).otherwise(tail)
 
 
+def tail_evidence(z: Column) -> Column:
+    """-log10 of the chance that a standard normal value is below z; far below zero by the asymptotic series of its log."""
+    q = 1 / (z * z)
+    series = 1 - q * (1 - 3 * q * (1 - 5 * q))
+    far = z * z / 2 * math.log10(math.e) + F.log10(-z * math.sqrt(2 * math.pi)) - F.log10(series)
+    return F.when(z < FAR, far).otherwise(-F.log10(normal_below(z)))
+
+
 def stepwise(tokens: Column, *steps) -> Column:
     """Each step adds fields to the structs of an array; a step reads the fields of those before it."""
     for step in steps:
@@ -151,14 +163,14 @@ def judged(x: Column) -> Column:
     two_sided = lambda z: 2 * (1 - normal_below(F.abs(z)))
     least = F.least(p_chi, two_sided(z_runs), two_sided(serial * F.sqrt(n)))
     shift = n * (k * x["agree"] - 1)
-    p_text = normal_below((x["chi"] - df - shift) / F.sqrt(2 * (df + 2 * shift)))
+    even = tail_evidence((x["chi"] - df - shift) / F.sqrt(2 * (df + 2 * shift)))
     usable = (x["agree"] > 0) & (x["n"] >= LENGTH_EDGES[0])
     cell = F.lit(0)
     for i, edge in enumerate(LENGTH_EDGES):
         cell = F.when(n >= edge, i).otherwise(cell)
     return F.struct(x["start"].alias("start"), x["end"].alias("end"), x["hit"].alias("hit"), cell.alias("cell"),
                     (usable & (3 * least >= BATTERY_LEVEL)).alias("fits"),
-                    F.when(usable, -F.log10(p_text)).otherwise(F.lit(0.0)).alias("evidence"))
+                    F.when(usable, even).otherwise(F.lit(0.0)).alias("evidence"))
 
 
 def random_tokens(df: DataFrame, text: str, out: str) -> DataFrame:
@@ -178,10 +190,12 @@ def random_tokens(df: DataFrame, text: str, out: str) -> DataFrame:
 def thresholds(df: DataFrame, text: str, rate: float = FALSE_DISCOVERY_RATE) -> list[float]:
     """Least evidence per length class by the Benjamini-Hochberg rule over all tokens of all texts.
 
-    Evidence is counted in bins, so what reaches the driver is one count per length class and bin, whatever the table.
+    Evidence is counted in bins, so what reaches the driver is one count per length class and bin, whatever the table. The
+    bins reach as far as the rule can ask of a single token among as many as can be counted.
     """
     (tokens,) = fresh(df.columns, "tokens")
-    at = F.least(F.floor(F.col("t.evidence") / BIN_WIDTH), F.lit(BINS)).cast("int")
+    bins = math.ceil(math.log10(MOST_TOKENS) - math.log10(max(rate, sys.float_info.min))) * round(1 / BIN_WIDTH)
+    at = F.least(F.floor(F.col("t.evidence") / BIN_WIDTH), F.lit(bins)).cast("int")
     counts = (
         random_tokens(df.select(quoted(text)), text, tokens).select(F.explode(tokens).alias("t"))
         .groupBy(F.col("t.cell").alias("cell"), at.alias("bin")).count().collect()
