@@ -8,7 +8,8 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 import corpus_pipeline
-from gotera.llm import bpe, decontaminate, jaccard, language, licenses, neighbours, secrets, sharding, urls, warc
+from gotera.llm import (
+    bpe, decontaminate, jaccard, language, licenses, merkle, neighbours, runs, secrets, sharding, topk, urls, warc)
 from gotera.llm.common import run_folder, table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -84,9 +85,25 @@ def op10_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFram
     return decontaminate.contamination(docs, table(spark, sf_dir, "benchmark").select("item_id", "text"))
 
 
+def op11_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    fields = ["doc_id", "source", "lang", "n_chars", "text"]
+    more = {"n_chars": F.col("n_chars").cast("decimal(38,0)") + 1}
+    tampered = F.crc32(F.col("doc_id").cast("string")) % 7 == 0
+    return merkle.prove(table(spark, sf_dir, "documents").select(*fields), fields, more, tampered)
+
+
+def op12_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return runs.detect(table(spark, sf_dir, "documents"), alter=runs.planted)
+
+
+def op13_exact_top_k(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return topk.search(table(spark, sf_dir, "embeddings"), lambda vec_id: vec_id % 50 == 0)
+
+
 QUERIES: dict[str, Query] = {f.__name__: f for f in (
     op1_interleaved_shards, op2_ngram_jaccard_join, op3_byte_bpe, op4_url_filter, op5_secret_scan, op6_language_id, op7_license_scan,
-    op8_warc_round_trip, op9_nearest_neighbours, op10_benchmark_decontamination)}
+    op8_warc_round_trip, op9_nearest_neighbours, op10_benchmark_decontamination, op11_merkle_manifest, op12_periodic_runs,
+    op13_exact_top_k)}
 QUERIES["pipeline"] = corpus_pipeline.run
 
 

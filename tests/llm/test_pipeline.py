@@ -10,7 +10,7 @@ SF = "/root/testdata/sf0.001"
 
 def test_names_and_oracles():
     names = set(registry.queries())
-    assert {n.split("_")[0] for n in names} == {f"op{i}" for i in range(1, 11)} | {"pipeline"}
+    assert {n.split("_")[0] for n in names} == {f"op{i}" for i in range(1, 14)} | {"pipeline"}
     assert set(sql.oracle_sql()) <= names
 
 
