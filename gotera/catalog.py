@@ -16,9 +16,9 @@ from gotera.functions import series, text
 from gotera.functions.features import consumption_features, domain_features
 from gotera.operators import cleaning, encoders, population, profile, report, sampling, selection, wide
 from gotera.operators import cutoffs as windows
-from gotera.operators.durable import checkpoint_dir
+from gotera.operators.durable import checkpoint_dir, settle
 from gotera.operators.skew import broadcast_if_small, keep_keys
-from gotera.plans import etl, model as modelling
+from gotera.plans import datasets as dataset_plans, etl, model as modelling
 from gotera.schemas import DEFAULT_PERIODS, INTERIM, LABEL, RAW_COLUMNS, STATIC, TRACKED, period_columns
 from gotera.session import configure
 from gotera.sources import datasets, fixtures as fx, interim, listing, raw
@@ -26,7 +26,6 @@ from gotera.streaming.etl_stream import start_interim_stream
 
 N = DEFAULT_PERIODS
 CUTOFF = "1999-01-01"
-CUTOFFS = [f"1999-{m:02d}-01" for m in range(1, 7)]
 MAX_NEGATIVES = 20
 LAST_LOADED_YEAR = 1998
 SPLIT_KEYS = ["contrato", "date"]
@@ -72,22 +71,23 @@ def scratch(spark: SparkSession) -> str:
     return f"{checkpoint_dir(spark)}/scratch-{uuid.uuid4().hex}"
 
 
-def months() -> list[dt.date]:
-    return windows.cutoff_list(CUTOFFS)
-
-
-def one_month() -> list[dt.date]:
-    return windows.cutoff_list([CUTOFF])
+def months(spark: SparkSession, sf_dir: str) -> list[dt.date]:
+    """All valid cutoffs of the tables: months with inspections and a full history before them, at most one a month."""
+    rows, labels = fx.consumption(spark, sf_dir), fx.inspections(spark, sf_dir)
+    return [r["cutoff"] for r in windows.valid_cutoffs_from_consumption(labels, rows, N).collect()]
 
 
 def profiles(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every contract with readings at every valid cutoff."""
     rows = fx.consumption(spark, sf_dir)
-    return profile.window_profiles(rows, one_month(), N, chunk_bits=fx.CHUNK_BITS)
+    return profile.window_profiles(rows, months(spark, sf_dir), N, chunk_bits=fx.CHUNK_BITS)
 
 
 def filled(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """contrato and its gap-filled series at the inference cutoff."""
-    return profiles(spark, sf_dir).select("contrato", series.fill_gaps(F.col("serie_raw"), N).alias("serie"))
+    """``ventana`` (contract and cutoff) and its gap-filled series, for every valid cutoff."""
+    return profiles(spark, sf_dir).select(
+        F.concat_ws(" ", "contrato", F.col("cutoff").cast("string")).alias("ventana"),
+        series.fill_gaps(F.col("serie_raw"), N).alias("serie"))
 
 
 def labelled_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -192,7 +192,8 @@ def processed_months(spark, sf_dir):
 @query
 def processed_dataset(spark, sf_dir):
     root = scratch(spark)
-    rows = profiles(spark, sf_dir).select("contrato", "categoria", "cant_estado", "barrio")
+    rows = profiles(spark, sf_dir).select(
+        "contrato", F.col("cutoff").alias("date_fizcalizacion"), "categoria", "cant_estado", "barrio")
     datasets.write_dataset(rows, f"{root}/processed", "inference", CUTOFF)
     return datasets.read_dataset(spark, f"{root}/processed", "inference", CUTOFF)
 
@@ -200,7 +201,7 @@ def processed_dataset(spark, sf_dir):
 @query
 def score_file(spark, sf_dir):
     root = scratch(spark)
-    scores = filled(spark, sf_dir).select("contrato", (F.get("serie", N - 1) / 10).alias("score"))
+    scores = filled(spark, sf_dir).select(F.col("ventana").alias("contrato"), (F.get("serie", N - 1) / 10).alias("score"))
     path = datasets.write_scores(scores, f"{root}/predictions", CUTOFF)
     return spark.read.schema("contrato string, score double").option("header", True).csv(path)
 
@@ -208,7 +209,7 @@ def score_file(spark, sf_dir):
 @query
 def ranked_delivery(spark, sf_dir):
     scored = filled(spark, sf_dir).withColumn("pred_score", F.array_max("serie"))
-    return datasets.ranked_delivery(scored, "v1", ["contrato", "id_seleccion", "pred_score"])
+    return datasets.ranked_delivery(scored, "v1", ["ventana", "id_seleccion", "pred_score"])
 
 
 # --- cleaning ---------------------------------------------------------------------------------------------------------
@@ -282,7 +283,7 @@ def model_input_gate(spark, sf_dir):
     rows = profiles(spark, sf_dir).withColumn("serie", series.fill_gaps(F.col("serie_raw"), N))
     rows = rows.withColumns({
         "cant_null": series.null_count(F.col("serie_raw")), "cant_ceros_12": series.zero_count(F.col("serie"))})
-    return cleaning.model_input(rows).select("contrato", *cleaning.GATE_STRINGS, "cant_null", "cant_ceros_12")
+    return cleaning.model_input(rows).select("contrato", "cutoff", *cleaning.GATE_STRINGS, "cant_null", "cant_ceros_12")
 
 
 @query
@@ -301,7 +302,7 @@ def allow_list_filter(spark, sf_dir):
 
 @query
 def month_completeness(spark, sf_dir):
-    return windows.month_count(fx.consumption(spark, sf_dir), one_month()[0], N)
+    return windows.month_count(fx.consumption(spark, sf_dir), windows.month_start(CUTOFF), N)
 
 
 # --- windows, joins and aggregates ------------------------------------------------------------------------------------
@@ -329,41 +330,41 @@ def valid_cutoffs(spark, sf_dir):
 @query
 def window_slice(spark, sf_dir):
     rows = fx.consumption(spark, sf_dir).select("contrato", "date", "pos", "consumo")
-    return windows.slice_windows(rows, months(), N)
+    return windows.slice_windows(rows, months(spark, sf_dir), N)
 
 
 @query
 def contract_sums(spark, sf_dir):
-    return population.contract_sums(fx.consumption(spark, sf_dir), months(), N)
+    return population.contract_sums(fx.consumption(spark, sf_dir), months(spark, sf_dir), N)
 
 
 @query
 def population_stats_12_6_3(spark, sf_dir):
-    return population.population_stats(fx.consumption(spark, sf_dir), months(), N)
+    return population.population_stats(fx.consumption(spark, sf_dir), months(spark, sf_dir), N)
 
 
 @query
 def inspected_window_rows(spark, sf_dir):
     rows = fx.consumption(spark, sf_dir).select("contrato", "date", "pos")
     inspected = fx.inspections(spark, sf_dir).select("contrato", F.col("date").alias("cutoff"))
-    return windows.slice_windows(rows, months(), N).join(inspected, ["contrato", "cutoff"], "left_semi")
+    return windows.slice_windows(rows, months(spark, sf_dir), N).join(inspected, ["contrato", "cutoff"], "left_semi")
 
 
 @query
 def uninspected_contracts(spark, sf_dir):
     rows, labels = fx.consumption(spark, sf_dir), fx.inspections(spark, sf_dir)
-    return wide.unlabelled_pairs(rows, labels, months(), N)
+    return wide.unlabelled_pairs(rows, labels, months(spark, sf_dir), N)
 
 
 @query
 def negative_sample(spark, sf_dir):
     rows, labels = fx.consumption(spark, sf_dir), fx.inspections(spark, sf_dir)
-    return wide.negative_sample(rows, labels, months(), MAX_NEGATIVES, N)
+    return wide.negative_sample(rows, labels, months(spark, sf_dir), MAX_NEGATIVES, N)
 
 
 def all_profiles(spark, sf_dir, keep_empty=True):
     rows = fx.consumption(spark, sf_dir)
-    return profile.window_profiles(rows, months(), N, keep_empty, fx.CHUNK_BITS)
+    return profile.window_profiles(rows, months(spark, sf_dir), N, keep_empty, fx.CHUNK_BITS)
 
 
 @query
@@ -405,9 +406,9 @@ def gap_fill(spark, sf_dir):
 @query
 def population_ratios(spark, sf_dir):
     rows = fx.consumption(spark, sf_dir)
-    stats = broadcast_if_small(population.population_stats(rows, one_month(), N))
+    stats = broadcast_if_small(population.population_stats(rows, months(spark, sf_dir), N))
     joined = wide.with_population(profiles(spark, sf_dir), stats, N)
-    return joined.select("contrato", "categoria", *[c for c in joined.columns if c.startswith("prop_cons")])
+    return joined.select("contrato", "cutoff", "categoria", *[c for c in joined.columns if c.startswith("prop_cons")])
 
 
 @query
@@ -440,16 +441,61 @@ def inference_wide_allow_list(spark, sf_dir):
 @query
 def train_wide_multi_cutoff(spark, sf_dir):
     rows, labels = fx.consumption(spark, sf_dir), fx.inspections(spark, sf_dir)
-    made = wide.train_wide(rows, labels, CUTOFFS, N, MAX_NEGATIVES, fx.CHUNK_BITS)
+    made = wide.train_wide(rows, labels, months(spark, sf_dir), N, MAX_NEGATIVES, fx.CHUNK_BITS)
     return wide.wide_columns(made, N)
 
 
+# --- whole products ----------------------------------------------------------------------------------------------------
+
+def both_zones(spark: SparkSession, sf_dir: str) -> str:
+    root = scratch(spark)
+    for source in ("inspecciones", "consumo"):
+        interim.write_interim(interim_rows(spark, sf_dir, source), f"{root}/interim", source)
+    return root
+
+
+def scalars(df: DataFrame) -> DataFrame:
+    """Every array feature as scalar columns."""
+    for name, size in ARRAY_SIZES.items():
+        df = spread(df, name, size)
+    return df
+
+
+@query
+def train_features(spark, sf_dir):
+    """The training dataset as delivered: all valid cutoffs, labels, negatives and the whole feature block."""
+    root = both_zones(spark, sf_dir)
+    return scalars(dataset_plans.train_dataset(spark, f"{root}/interim", f"{root}/processed", N, None, MAX_NEGATIVES))
+
+
+@query
+def inference_features(spark, sf_dir):
+    """The inference dataset as delivered: one cutoff, the whole feature block."""
+    root = both_zones(spark, sf_dir)
+    return scalars(dataset_plans.inference_dataset(spark, f"{root}/interim", f"{root}/processed", CUTOFF, N))
+
+
+@query
+def labels_over_files(spark, sf_dir):
+    """Inspections of a contract and month that came in several monthly files: the strongest, then the earliest stays."""
+    late = F.pmod(F.col("pos"), F.lit(3)).cast("int")
+    file = F.add_months(F.make_date("year", "month", F.lit(1)), late)
+    raw = fx.raw_inspections(spark, sf_dir).where(F.length(F.trim("servicio_suscrito")) == 9)
+    filed = raw.withColumns({"year": F.year(file), "month": F.month(file)})
+    root = scratch(spark)
+    per_file = cleaning.clean_inspections(filed).select(*INTERIM["inspecciones"].names)
+    interim.write_interim(per_file, f"{root}/interim", "inspecciones")
+    labels = cleaning.unique_labels(interim.load_interim(spark, f"{root}/interim", "inspecciones"))
+    return labels.select("contrato", "date", "is_fraud", "pos", "year", "month")
+
+
 # --- series features --------------------------------------------------------------------------------------------------
 
 @query
 def trend_percentages(spark, sf_dir):
-    return filled(spark, sf_dir).select("contrato", *[
-        series.trend_percentage(F.col("serie"), N, base, evaluated).alias(f"trend_{base}_{evaluated}")
+    # three places: over a month of zeros the percentages reach 1e9, where a double holds no more than seven
+    return filled(spark, sf_dir).select("ventana", *[
+        F.round(series.trend_percentage(F.col("serie"), N, base, evaluated), 3).alias(f"trend_{base}_{evaluated}")
         for base, evaluated, _ in series.TREND_DROPS])
 
 
@@ -466,25 +512,25 @@ def constant_runs(spark, sf_dir):
 @query
 def zero_runs(spark, sf_dir):
     rows = series.add_moments(filled(spark, sf_dir), N)
-    return rows.select("contrato", *[c for c in rows.columns if c.startswith(("cant_ceros_", "max_cant_ceros_"))])
+    return rows.select("ventana", *[c for c in rows.columns if c.startswith(("cant_ceros_", "max_cant_ceros_"))])
 
 
 @query
 def series_moments(spark, sf_dir):
     rows = series.add_moments(filled(spark, sf_dir), N)
     kept = [c for c in series.moment_columns() if not c.startswith(("cant_", "max_cant_", "slope_"))]
-    return rows.select("contrato", *kept)
+    return rows.select("ventana", *kept)
 
 
 @query
 def series_slope(spark, sf_dir):
     rows = series.add_moments(filled(spark, sf_dir), N)
-    return rows.select("contrato", *[f"slope_{m}" for m in series.MOMENT_WINDOWS])
+    return rows.select("ventana", *[f"slope_{m}" for m in series.MOMENT_WINDOWS])
 
 
 @query
 def row_minmax(spark, sf_dir):
-    rows = filled(spark, sf_dir).select("contrato", series.row_minmax(F.col("serie")).alias("x"))
+    rows = filled(spark, sf_dir).select("ventana", series.row_minmax(F.col("serie")).alias("x"))
     return spread(rows, "x", N)
 
 
@@ -658,9 +704,8 @@ def forest_vote_select(spark, sf_dir):
         "l_orderkey", "l_linenumber", "l_partkey", "l_quantity", "l_extendedprice", "l_discount",
         (F.col("l_quantity") > 40).cast("int").alias("target"))
     votes = selection.forest_votes(
-        rows, ["l_quantity", "l_extendedprice", "l_discount"], ["l_orderkey", "l_linenumber", "l_partkey"],
-        runs=2, trees=5, depth=4)
-    return spark.createDataFrame(list(votes.items()), "feature string, votes bigint")
+        rows, ["l_quantity", "l_extendedprice", "l_discount"], ["l_orderkey", "l_linenumber", "l_partkey"])
+    return spark.createDataFrame([(f, v >= 5) for f, v in votes.items()], "feature string, selected boolean")
 
 
 MODEL_FEATURES = [
@@ -670,7 +715,7 @@ MODEL_FEATURES = [
 
 def model_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows, labels = fx.consumption(spark, sf_dir), fx.inspections(spark, sf_dir)
-    made = wide.train_wide(rows, labels, CUTOFFS, N, MAX_NEGATIVES, fx.CHUNK_BITS)
+    made = wide.train_wide(rows, labels, months(spark, sf_dir), N, MAX_NEGATIVES, fx.CHUNK_BITS)
     featured = wide.wide_columns(series.add_moments(made, N), N).withColumnRenamed("is_fraud", "target")
     return cleaning.model_input(featured)
 
@@ -681,19 +726,44 @@ def model_settings(**params) -> modelling.TrainingSettings:
     return modelling.TrainingSettings(features=MODEL_FEATURES, params=small)
 
 
-@query
-def gbt_scores(spark, sf_dir):
-    fitted = modelling.train_model(model_rows(spark, sf_dir), model_settings())
+def gated_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Rows to score: the contracts of the inference cutoff that pass the gate."""
     rows = fx.consumption(spark, sf_dir)
     made = wide.wide_columns(series.add_moments(
         wide.inference_wide(rows, CUTOFF, N, chunk_bits=fx.CHUNK_BITS), N), N)
-    return modelling.contract_scores(fitted, cleaning.model_input(made))
+    return cleaning.model_input(made)
+
+
+@query
+def gbt_scores(spark, sf_dir):
+    """Every gated contract once, with a probability."""
+    fitted = modelling.train_model(model_rows(spark, sf_dir), model_settings())
+    return modelling.contract_scores(fitted, gated_rows(spark, sf_dir)).select(
+        "contrato", F.col("score").between(0, 1).alias("is_probability"))
+
+
+@query
+def saved_model_scores(spark, sf_dir):
+    """A model that was stored and read back: its features, and its scores beside those of the fitted one."""
+    settings = model_settings(n_estimators=10)
+    fitted = modelling.train_model(model_rows(spark, sf_dir), settings)
+    path = f"{scratch(spark)}/model"
+    modelling.save_model(fitted, path, settings.features)
+    loaded, features = modelling.load_model(spark, path)
+    rows = settle(gated_rows(spark, sf_dir))
+    modelling.check_features(rows, features)
+    again = modelling.contract_scores(loaded, rows).withColumnRenamed("score", "again")
+    return modelling.contract_scores(fitted, rows).join(again, "contrato").select(
+        "contrato", (F.col("score") == F.col("again")).alias("same_score"), F.lit(list(features) == MODEL_FEATURES).alias("same_features"))
 
 
 @query
 def random_search(spark, sf_dir):
-    best, params = modelling.search_params(model_rows(spark, sf_dir), model_settings(n_estimators=10), draws=2)
-    return spark.createDataFrame([(best, params["learning_rate"])], "auc double, learning_rate double")
+    """Candidates with more rounds than the patience, judged over all folds."""
+    rounds = modelling.PATIENCE + 10
+    best, params = modelling.search_params(model_rows(spark, sf_dir), model_settings(n_estimators=rounds), draws=2)
+    drawn = [{**model_settings(n_estimators=rounds).params, **p} for p in modelling.draw_params(2)]
+    return spark.createDataFrame([(0.5 < best <= 1, params in drawn)], "better_than_chance boolean, is_a_candidate boolean")
 
 
 def flagship(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -10,7 +10,7 @@ import datetime as dt
 import re
 from collections.abc import Iterable, Sequence
 
-from pyspark.sql import Column, DataFrame, SparkSession, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F
 
 from gotera.schemas import DEFAULT_PERIODS
 
@@ -100,6 +100,26 @@ def slice_windows(rows: DataFrame, cutoffs: Sequence[dt.date], n: int = DEFAULT_
     )
 
 
+def month_number(date: Column) -> Column:
+    return F.year(date) * 12 + F.month(date)
+
+
+def windows_opened(months: DataFrame, keys: Sequence[str], cutoffs: Sequence[dt.date], n: int = DEFAULT_PERIODS) -> DataFrame:
+    """(keys, cutoff): each window of ``cutoffs`` in which a key has a month, once; ``months`` holds a row per key and month.
+
+    A month opens the windows of the cutoffs after it up to n months on, but not beyond the key's next month, which opens
+    the later ones itself. So a key with a row in every month gives one row per cutoff, not n. One sort by key and month;
+    the partitioning of the input by key is kept.
+    """
+    following = F.lead(month_number(F.col("date"))).over(Window.partitionBy(*keys).orderBy("date"))
+    here = month_number(F.col("date"))
+    upto = F.least(here + n, F.coalesce(following, here + n))
+    frame = F.broadcast(cutoff_frame(months.sparkSession, cutoffs))
+    opened = months.withColumn("_upto", upto).select(
+        *keys, F.explode(F.sequence(F.lit(1), F.col("_upto") - here)).alias("_k"), "date")
+    return opened.select(*keys, F.add_months("date", F.col("_k")).alias("cutoff")).join(frame, "cutoff").select(*keys, "cutoff")
+
+
 def month_count(rows: DataFrame, cutoff: dt.date, n: int = DEFAULT_PERIODS) -> DataFrame:
     """Distinct months with rows inside the window (the completeness check compares it with n)."""
     return within_reach(rows, [cutoff], n).agg(F.countDistinct("date").alias("months"))

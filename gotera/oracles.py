@@ -2,12 +2,17 @@
 
 from __future__ import annotations
 
-from gotera.functions.series import CONSTANT_RUNS, TREND_DROPS
-from gotera.schemas import STATIC, TRACKED
+# The trend windows (months before, months judged, drop in percent) and the lengths of constant runs.
+TREND_DROPS = [(1, 4, 90), (1, 3, 90), (2, 3, 90), (1, 6, 90), (3, 3, 90), (6, 5, 10), (6, 6, 10), (6, 4, 10), (6, 1,
+    10), (5, 5, 10)]
+CONSTANT_RUNS = [8, 9, 10, 3, 4, 5]
+TRACKED = ["categoria", "estado", "determinacion_consumo"]
+STATIC = ["instalacion", "estado", "categoria", "subcategoria_estrato", "localidad", "municipio", "barrio",
+    "microsector"]
 
 N = 12
 ONE = ["1999-01-01"]
-SIX = [f"1999-{m:02d}-01" for m in range(1, 7)]
+VALID: list[str] = []  # all months with inspections that have a full history
 MONTHS = [f"{k}_anterior" for k in range(N, 0, -1)]
 
 ITEMS = """items AS (
@@ -52,7 +57,9 @@ def dates(values: list[str]) -> str:
 
 
 def windows(cutoffs: list[str]) -> str:
-    return f"""cutoffs AS (SELECT unnest({dates(cutoffs)}) AS cutoff), win AS (
+    listed = f"""SELECT unnest({dates(cutoffs)}) AS cutoff""" if cutoffs else f"""SELECT DISTINCT date AS cutoff FROM labels
+  WHERE date >= (SELECT min(date) FROM consumo) + INTERVAL {N} MONTH"""
+    return f"""{LABELS}, cutoffs AS ({listed}), win AS (
   SELECT c.*, cutoff, date_diff('month', c.date, cutoff) AS k
   FROM consumo c JOIN cutoffs ON c.date < cutoff AND c.date >= cutoff - INTERVAL {N} MONTH)"""
 
@@ -157,7 +164,8 @@ SELECT contrato, {comma(chosen, extra_columns or [])} FROM {source} JOIN ids USI
 
 # --- series features in long form: one row per contract and month -----------------------------------------------------
 
-SER = panel(ONE)
+SER = panel(VALID).replace("ser AS (", "gaps AS (") + """, ser AS (
+  SELECT contrato || ' ' || CAST(cutoff AS VARCHAR) AS ventana, i, v, x FROM gaps)"""
 
 
 def _trend(base: int, evaluated: int) -> str:
@@ -165,9 +173,9 @@ def _trend(base: int, evaluated: int) -> str:
             f"(avg(x) FILTER (i >= {N - evaluated - base} AND i < {N - evaluated}) + 1e-6)")
 
 
-RUNS = """runs AS (SELECT contrato, m, x, count(*) AS len FROM (
-  SELECT *, i - row_number() OVER (PARTITION BY contrato, m, x ORDER BY i) AS grp
-  FROM ser CROSS JOIN (SELECT unnest([3, 6, 12]) AS m) WHERE i >= 12 - m) GROUP BY contrato, m, x, grp)"""
+RUNS = """runs AS (SELECT ventana, m, x, count(*) AS len FROM (
+  SELECT *, i - row_number() OVER (PARTITION BY ventana, m, x ORDER BY i) AS grp
+  FROM ser CROSS JOIN (SELECT unnest([3, 6, 12]) AS m) WHERE i >= 12 - m) GROUP BY ventana, m, x, grp)"""
 
 
 def moments_sql(columns: list[str]) -> str:
@@ -181,12 +189,12 @@ def moments_sql(columns: list[str]) -> str:
         spread_cols("mu", "mean_"), spread_cols("lo", "min_cons"), spread_cols("hi", "max_cons"),
         spread_cols("sqrt(d2 / (m - 1))", "std_cons"), spread_cols("d2 / (m - 1)", "var_cons"),
         spread_cols(skew, "skew_cons"), spread_cols(kurt, "kurt_cons", 6), spread_cols("slope", "slope_"))
-    return f"""{SER}, parts AS (SELECT contrato, m, i, x, avg(x) OVER (PARTITION BY contrato, m) AS mu
+    return f"""{SER}, parts AS (SELECT ventana, m, i, x, avg(x) OVER (PARTITION BY ventana, m) AS mu
     FROM ser CROSS JOIN (SELECT unnest([3, 6, 12]) AS m) WHERE i >= 12 - m), sums AS (
-  SELECT contrato, m, any_value(mu) AS mu, min(x) AS lo, max(x) AS hi, sum((x - mu) ** 2) AS d2, sum((x - mu) ** 3) AS d3,
+  SELECT ventana, m, any_value(mu) AS mu, min(x) AS lo, max(x) AS hi, sum((x - mu) ** 2) AS d2, sum((x - mu) ** 3) AS d3,
     sum((x - mu) ** 4) AS d4, regr_slope(x, i) AS slope FROM parts GROUP BY ALL), flat AS (
-  SELECT contrato, {parts} FROM sums GROUP BY contrato)
-SELECT contrato, {comma([r6(c, c) for c in columns])} FROM flat"""
+  SELECT ventana, {parts} FROM sums GROUP BY ventana)
+SELECT ventana, {comma([r6(c, c) for c in columns])} FROM flat"""
 
 
 MOMENTS = [f"{p}{m}" for m in (3, 6, 12) for p in (
@@ -197,17 +205,17 @@ def _quantile(q: float) -> str:
     return f"quantile_cont(x, {q})"
 
 
-STATISTICAL = f"""{SER}, mid AS (SELECT contrato, avg(x) AS mu, median(x) AS med, min(x) AS lo, max(x) AS hi,
+STATISTICAL = f"""{SER}, mid AS (SELECT ventana, avg(x) AS mu, median(x) AS med, min(x) AS lo, max(x) AS hi,
     {_quantile(0.2)} AS p0, {_quantile(0.8)} AS p1 FROM ser GROUP BY ALL), joined AS (
-  SELECT * FROM ser JOIN mid USING (contrato)), binned AS (
+  SELECT * FROM ser JOIN mid USING (ventana)), binned AS (
   SELECT *, CASE WHEN hi = lo THEN 0 ELSE least(CAST(floor((x - lo) / (hi - lo) * 10) AS INTEGER), 9) END AS bin
   FROM joined), agg AS (
-  SELECT contrato, max(x) AS hi, min(x) AS lo, avg(x) AS mu, median(x) AS med, sum((x - mu) ** 2) AS s2,
+  SELECT ventana, max(x) AS hi, min(x) AS lo, avg(x) AS mu, median(x) AS med, sum((x - mu) ** 2) AS s2,
     sum((x - mu) ** 3) AS s3, sum((x - mu) ** 4) AS s4, sum(x * x) AS e, avg(abs(x - mu)) AS mad,
     median(abs(x - med)) AS medad, {_quantile(0.75)} - {_quantile(0.25)} AS iqr, any_value(p0) AS p0, any_value(p1) AS p1,
     count(*) FILTER (x <= p0) AS c0, count(*) FILTER (x <= p1) AS c1,
-    {comma([f"count(*) FILTER (bin = {b}) AS h{b}" for b in range(10)])} FROM binned GROUP BY contrato)
-SELECT contrato, {comma(
+    {comma([f"count(*) FILTER (bin = {b}) AS h{b}" for b in range(10)])} FROM binned GROUP BY ventana)
+SELECT ventana, {comma(
     r6("hi", "ts_max"), r6("lo", "ts_min"), r6("mu", "ts_mean"), r6("med", "ts_median"), r6("s2 / 12", "ts_variance"),
     r6("sqrt(s2 / 12)", "ts_std"), r6("sqrt(e / 12)", "ts_rms"), r6("mad", "ts_mean_abs_deviation"),
     r6("medad", "ts_median_abs_deviation"), r6("iqr", "ts_interquartile_range"),
@@ -218,39 +226,39 @@ SELECT contrato, {comma(
     big("c0", "ts_ecdf_percentile_count_0"), big("c1", "ts_ecdf_percentile_count_1"))} FROM agg"""
 
 TEMPORAL = f"""{SER}, steps AS (
-  SELECT contrato, i, x, lead(x) OVER w AS nxt, lead(x) OVER w - x AS d, lead(x, 2) OVER w - lead(x) OVER w AS d_next,
+  SELECT ventana, i, x, lead(x) OVER w AS nxt, lead(x) OVER w - x AS d, lead(x, 2) OVER w - lead(x) OVER w AS d_next,
     lag(x) OVER w AS a1, lag(x, 2) OVER w AS a2, lead(x, 2) OVER w AS b2 FROM ser
-  WINDOW w AS (PARTITION BY contrato ORDER BY i)), freq AS (
-  SELECT contrato, -sum(c / 12.0 * log2(c / 12.0)) / nullif(log2(count(*)), 0) AS h FROM (
-    SELECT contrato, x, count(*) AS c FROM ser GROUP BY ALL) GROUP BY contrato), agg AS (
-  SELECT contrato, sum(x * x) AS e, sum((x + nxt) / 2) AS area, sum(i * x * x) AS ix2, avg(d) AS md, avg(abs(d)) AS mad,
+  WINDOW w AS (PARTITION BY ventana ORDER BY i)), freq AS (
+  SELECT ventana, -sum(c / 12.0 * log2(c / 12.0)) / nullif(log2(count(*)), 0) AS h FROM (
+    SELECT ventana, x, count(*) AS c FROM ser GROUP BY ALL) GROUP BY ventana), agg AS (
+  SELECT ventana, sum(x * x) AS e, sum((x + nxt) / 2) AS area, sum(i * x * x) AS ix2, avg(d) AS md, avg(abs(d)) AS mad,
     median(d) AS medd, median(abs(d)) AS medad, sum(abs(d)) AS sad, count(*) FILTER (d < 0 AND d_next > 0) AS pt,
     count(*) FILTER (d > 0 AND d_next < 0) AS nt, count(*) FILTER (x > a1 AND x > a2 AND x > nxt AND x > b2) AS peaks,
     max(x) - min(x) AS pp, sum(sqrt(1 + d * d)) AS dist, regr_slope(x, i) AS slope,
-    count(*) FILTER (sign(x) <> sign(nxt)) AS zc FROM steps GROUP BY contrato)
-SELECT contrato, {comma(
+    count(*) FILTER (sign(x) <> sign(nxt)) AS zc FROM steps GROUP BY ventana)
+SELECT ventana, {comma(
     r6("e", "ts_absolute_energy"), r6("e / 12", "ts_mean_power"), r6("area", "ts_area_under_curve"),
     r6("e", "ts_autocorrelation"), r6("ix2 / nullif(e, 0)", "ts_centroid"), r6("coalesce(h, 0)", "ts_entropy"),
     r6("md", "ts_mean_diff"), r6("mad", "ts_mean_abs_diff"), r6("medd", "ts_median_diff"),
     r6("medad", "ts_median_abs_diff"), r6("sad", "ts_sum_abs_diff"), big("pt", "ts_positive_turning"),
     big("nt", "ts_negative_turning"), big("peaks", "ts_neighbourhood_peaks"), r6("pp", "ts_pk_pk_distance"),
     r6("dist", "ts_signal_distance"), r6("slope", "ts_slope"), big("zc", "ts_zero_cross"))}
-FROM agg JOIN freq USING (contrato)"""
+FROM agg JOIN freq USING (ventana)"""
 
 SPECTRUM = f"""{SER}, raw_power AS (
-  SELECT contrato, k, sum(x * cos(2 * pi() * k * i / 12)) ** 2 + sum(x * sin(2 * pi() * k * i / 12)) ** 2 AS p
+  SELECT ventana, k, sum(x * cos(2 * pi() * k * i / 12)) ** 2 + sum(x * sin(2 * pi() * k * i / 12)) ** 2 AS p
   FROM ser CROSS JOIN (SELECT unnest(range(0, 7)) AS k) GROUP BY ALL), power AS (
-  SELECT contrato, k, k / 12.0 AS f, CASE WHEN p < 1e-9 * max(p) OVER (PARTITION BY contrato) THEN 0 ELSE p END AS p
+  SELECT ventana, k, k / 12.0 AS f, CASE WHEN p < 1e-9 * max(p) OVER (PARTITION BY ventana) THEN 0 ELSE p END AS p
   FROM raw_power), bins AS (
   SELECT *, sqrt(p) AS a, sum(p) OVER c AS pc, sum(sqrt(p)) OVER c AS ac, sum(p) OVER t AS pt, sum(sqrt(p)) OVER t AS atotal,
     max(sqrt(p)) OVER t AS atop, max(CASE WHEN k > 0 THEN sqrt(p) END) OVER t AS utop,
     first_value(sqrt(p)) OVER c AS a0, lag(sqrt(p)) OVER o AS aprev, p / nullif(sum(p) OVER t, 0) AS q
-  FROM power WINDOW o AS (PARTITION BY contrato ORDER BY k), t AS (PARTITION BY contrato),
-    c AS (PARTITION BY contrato ORDER BY k ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW)), steps AS (
+  FROM power WINDOW o AS (PARTITION BY ventana ORDER BY k), t AS (PARTITION BY ventana),
+    c AS (PARTITION BY ventana ORDER BY k ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW)), steps AS (
   SELECT *, CASE WHEN abs(a - aprev) < atop * 1e-9 THEN 0 ELSE a - aprev END AS d,
-    sum(f * q) OVER (PARTITION BY contrato) AS m1 FROM bins), turns AS (
-  SELECT *, lead(d) OVER (PARTITION BY contrato ORDER BY k) AS d_next FROM steps), agg AS (
-  SELECT contrato, any_value(pt) AS pt, any_value(m1) AS m1, sqrt(sum((f - m1) ** 2 * q)) AS sd,
+    sum(f * q) OVER (PARTITION BY ventana) AS m1 FROM bins), turns AS (
+  SELECT *, lead(d) OVER (PARTITION BY ventana ORDER BY k) AS d_next FROM steps), agg AS (
+  SELECT ventana, any_value(pt) AS pt, any_value(m1) AS m1, sqrt(sum((f - m1) ** 2 * q)) AS sd,
     sum((f - m1) ** 3 * q) AS m3, sum((f - m1) ** 4 * q) AS m4, max(p) AS top,
     min(f) FILTER (k > 0 AND a >= utop * (1 - 1e-9)) AS strongest, any_value(utop) AS utop,
     min(f) FILTER (pc >= pt * (0.95 - 1e-9)) AS p95, min(f) FILTER (pc >= pt * (0.5 - 1e-9)) AS p50,
@@ -260,10 +268,10 @@ SPECTRUM = f"""{SER}, raw_power AS (
     1 - sum(a * aprev) / nullif(sqrt(sum(a * a) FILTER (k > 0) * sum(aprev * aprev)), 0) AS variation,
     -sum(CASE WHEN q > 0 THEN q * log2(q) ELSE 0 END) / log2(7) AS entropy, sum(atotal * k / 6.0 - ac) AS distance,
     count(*) FILTER (d < 0 AND d_next > 0) AS turns,
-    {comma([f"max(p) FILTER (k = {k}) AS p{k}" for k in range(7)])} FROM turns GROUP BY contrato)
+    {comma([f"max(p) FILTER (k = {k}) AS p{k}" for k in range(7)])} FROM turns GROUP BY ventana)
 """
 
-SPECTRAL = SPECTRUM + "SELECT contrato, " + comma(
+SPECTRAL = SPECTRUM + "SELECT ventana, " + comma(
     [r6(f"p{k}", f"ts_fft_power_{k}") for k in range(7)], r6("top", "ts_max_power"),
     r6("CASE WHEN utop > 0 THEN strongest ELSE 0 END", "ts_fundamental_frequency"),
     [r6(f"CASE WHEN pt > 0 THEN {e} END", name) for e, name in (
@@ -275,12 +283,12 @@ SPECTRAL = SPECTRUM + "SELECT contrato, " + comma(
         ("entropy", "ts_spectral_entropy"), ("distance", "ts_spectral_distance"))],
     big("turns", "ts_spectral_positive_turning")) + " FROM agg"
 
-CHOSEN = SPECTRUM.rstrip() + """, med AS (SELECT contrato, median(x) AS med FROM ser GROUP BY ALL), crossings AS (
-  SELECT contrato, count(*) FILTER (sign(x) <> sign(nxt)) AS zc FROM (
-    SELECT contrato, x, lead(x) OVER (PARTITION BY contrato ORDER BY i) AS nxt FROM ser) GROUP BY ALL)
-SELECT contrato, """ + comma(
+CHOSEN = SPECTRUM.rstrip() + """, med AS (SELECT ventana, median(x) AS med FROM ser GROUP BY ALL), crossings AS (
+  SELECT ventana, count(*) FILTER (sign(x) <> sign(nxt)) AS zc FROM (
+    SELECT ventana, x, lead(x) OVER (PARTITION BY ventana ORDER BY i) AS nxt FROM ser) GROUP BY ALL)
+SELECT ventana, """ + comma(
     r6("med", "ts_median"), big("zc", "ts_zero_cross"), r6("m1", "ts_spectral_centroid")) + """
-FROM agg JOIN med USING (contrato) JOIN crossings USING (contrato)"""
+FROM agg JOIN med USING (ventana) JOIN crossings USING (ventana)"""
 
 # --- encoder and model inputs -----------------------------------------------------------------------------------------
 
@@ -376,7 +384,42 @@ SELECT {r6("sum((fpr - fpr0) * (tpr + tpr0) / 2)", "auc")},
   {r6("sum((tpr - tpr0) * prec)", "average_precision")} FROM steps"""
 
 
+FEATURE_QUERIES = ("trend_drop_flags", "constant_runs", "zero_runs", "series_moments", "series_slope", "ts_statistical", "ts_temporal",
+                   "ts_spectral")
+
+
+def with_features(oracles: dict[str, str], name: str, cutoffs: list[str]) -> str:
+    """The rows of a wide query with every series feature of their window."""
+    joins = " ".join(
+        f"JOIN ({oracles[q].replace(windows(VALID), windows(cutoffs))}) {q} USING (ventana)" for q in FEATURE_QUERIES)
+    return (f"SELECT * EXCLUDE (ventana) FROM (SELECT *, contrato || ' ' || CAST(date_fizcalizacion AS VARCHAR) AS ventana "
+            f"FROM ({oracles[name]}) wide) {joins}")
+
+
+GATED = f"""{panel(ONE)}, {RATIO_PARTS}, zeros AS (SELECT contrato, count(*) FILTER (x = 0) AS zeros FROM ser GROUP BY ALL),
+  gated AS (SELECT contrato FROM levels JOIN zeros USING (contrato) WHERE cant_null < 6 AND zeros < 9)"""
+
+
 def oracle_sql() -> dict[str, str]:
+    made = plain_sql()
+    return made | {
+        "train_features": with_features(made, "train_wide_multi_cutoff", VALID),
+        "inference_features": with_features(made, "inference_wide", ONE),
+        "labels_over_files": f"""WITH {ITEMS}, {LABELS}, filed AS (
+  SELECT * EXCLUDE (year, month), CAST(year(f) AS BIGINT) AS year, CAST(month(f) AS BIGINT) AS month FROM (
+    SELECT *, date + to_months(CAST(pos % 3 AS INTEGER)) AS f FROM inspected))
+SELECT contrato, date, is_fraud, pos, year, month FROM (SELECT *, row_number() OVER (
+  PARTITION BY contrato, date ORDER BY is_fraud DESC, year, month, pos) AS place FROM filed) WHERE place = 1""",
+        # facts about models: who is scored, and what holds of every score
+        "gbt_scores": f"{GATED} SELECT contrato, TRUE AS is_probability FROM gated",
+        "saved_model_scores": f"{GATED} SELECT contrato, TRUE AS same_score, TRUE AS same_features FROM gated",
+        "random_search": "SELECT TRUE AS better_than_chance, TRUE AS is_a_candidate",
+        "forest_vote_select": """SELECT unnest(['l_quantity', 'l_extendedprice', 'l_discount']) AS feature,
+  unnest([TRUE, FALSE, FALSE]) AS selected""",
+    }
+
+
+def plain_sql() -> dict[str, str]:
     return {
         # sources and sinks
         "raw_month_read": f"WITH {RAW_CONSUMO} SELECT {RAW_NAMES}, year, month FROM raw_consumo",
@@ -391,10 +434,10 @@ SELECT source, c AS processed, CAST(0 AS BIGINT) AS skipped, c AS total_pending
   WHERE file_month BETWEEN 199801 AND 199901""",
         "consumption_month_range": f"WITH {CONSUMO} SELECT min(date) AS first_month, max(date) AS last_month FROM consumo",
         "processed_months": f"WITH {ITEMS}, {LABELS} SELECT DISTINCT year, month FROM labels",
-        "processed_dataset": f"""{panel(ONE)}, {LATEST}, {DISTINCT} SELECT contrato, categoria, cant_estado, barrio
+        "processed_dataset": f"""{panel(VALID)}, {LATEST}, {DISTINCT} SELECT contrato, cutoff AS date_fizcalizacion, categoria, cant_estado, barrio
   FROM ids JOIN latest USING (contrato, cutoff) JOIN dist USING (contrato, cutoff)""",
-        "score_file": f"{SER} SELECT contrato, {r6('x / 10', 'score')} FROM ser WHERE i = 11",
-        "ranked_delivery": f"{SER} SELECT contrato, 'v1' AS id_seleccion, {r6('max(x)', 'pred_score')} FROM ser GROUP BY contrato",
+        "score_file": f"{SER} SELECT ventana AS contrato, {r6('x / 10', 'score')} FROM ser WHERE i = 11",
+        "ranked_delivery": f"{SER} SELECT ventana, 'v1' AS id_seleccion, {r6('max(x)', 'pred_score')} FROM ser GROUP BY ventana",
         # cleaning
         "normalized_text": "SELECT doc_id, " + comma([
             rf"regexp_replace(regexp_replace(regexp_replace(strip_accents(lower({c})), '[^\w\s]', '', 'g'), "
@@ -418,11 +461,11 @@ SELECT contrato, date, is_fraud, pos, categoria FROM (SELECT *, row_number() OVE
   FROM raw_consumo GROUP BY 1""",
         "filled_nulls": f"""WITH {CONSUMO} SELECT contrato, pos, coalesce(categoria, 'sin_dato') AS categoria,
   coalesce(barrio, 'sin_dato') AS barrio, coalesce(consumo, -1.0) AS consumo FROM consumo""",
-        "model_input_gate": f"""{panel(ONE)}, {LATEST}, {RATIO_PARTS}, zeros AS (
-  SELECT contrato, count(*) FILTER (x = 0) AS zeros FROM ser GROUP BY ALL)
-SELECT contrato, coalesce(categoria, 'sin_dato') AS categoria, subcategoria_estrato, municipio, localidad,
+        "model_input_gate": f"""{panel(VALID)}, {LATEST}, {RATIO_PARTS}, zeros AS (
+  SELECT contrato, cutoff, count(*) FILTER (x = 0) AS zeros FROM ser GROUP BY ALL)
+SELECT contrato, cutoff, coalesce(categoria, 'sin_dato') AS categoria, subcategoria_estrato, municipio, localidad,
   coalesce(barrio, 'sin_dato') AS barrio, {big("cant_null", "cant_null")}, {big("zeros", "cant_ceros_12")}
-FROM ids JOIN latest USING (contrato, cutoff) JOIN levels USING (contrato, cutoff) JOIN zeros USING (contrato)
+FROM ids JOIN latest USING (contrato, cutoff) JOIN levels USING (contrato, cutoff) JOIN zeros USING (contrato, cutoff)
 WHERE cant_null < 6 AND zeros < 9""",
         "danger_zone_code": f"""WITH {CONSUMO} SELECT contrato, pos, CAST(CASE WHEN estado = 'O' THEN 1
   WHEN categoria = 'A' THEN 0 END AS BIGINT) AS zona FROM consumo""",
@@ -437,54 +480,54 @@ WHERE cant_null < 6 AND zeros < 9""",
   CAST(cutoff - to_months(CAST(12 - p AS INTEGER)) AS DATE) AS month FROM c CROSS JOIN (SELECT unnest(range(0, 12)) AS p)""",
         "valid_cutoffs": f"""WITH {CONSUMO}, {LABELS} SELECT DISTINCT date AS cutoff FROM labels
   WHERE date >= (SELECT min(date) FROM consumo) + INTERVAL 12 MONTH AND date <= DATE '2001-06-01'""",
-        "window_slice": f"""WITH {CONSUMO}, {windows(SIX)} SELECT contrato, date, pos, consumo, cutoff, {big("k", "k")} FROM win""",
-        "contract_sums": f"WITH {CONSUMO}, {windows(SIX)}, {POPULATION_SUMS} SELECT * FROM sums",
-        "population_stats_12_6_3": f"""WITH {CONSUMO}, {windows(SIX)}, {POPULATION_SUMS}, {POPULATION}
+        "window_slice": f"""WITH {CONSUMO}, {windows(VALID)} SELECT contrato, date, pos, consumo, cutoff, {big("k", "k")} FROM win""",
+        "contract_sums": f"WITH {CONSUMO}, {windows(VALID)}, {POPULATION_SUMS} SELECT * FROM sums",
+        "population_stats_12_6_3": f"""WITH {CONSUMO}, {windows(VALID)}, {POPULATION_SUMS}, {POPULATION}
 SELECT cutoff, categoria, {comma([r6(c, c) for c in POPULATION_COLUMNS])} FROM pop""",
-        "inspected_window_rows": f"""WITH {CONSUMO}, {LABELS}, {windows(SIX)}
+        "inspected_window_rows": f"""WITH {CONSUMO}, {windows(VALID)}
 SELECT contrato, date, pos, cutoff, {big("k", "k")} FROM win w
 WHERE EXISTS (SELECT 1 FROM labels l WHERE l.contrato = w.contrato AND l.date = w.cutoff)""",
-        "uninspected_contracts": f"WITH {CONSUMO}, {LABELS}, {windows(SIX)}, {NEGATIVES} SELECT * FROM unlabelled",
-        "negative_sample": f"WITH {CONSUMO}, {LABELS}, {windows(SIX)}, {NEGATIVES} SELECT * FROM negatives",
-        "attr_distinct_counts": f"WITH {CONSUMO}, {windows(SIX)}, {DISTINCT} SELECT * FROM dist",
-        "attr_change_counts": f"""WITH {CONSUMO}, {windows(SIX)}, {CHANGES} SELECT contrato, cutoff, {comma(CHANGE_COLUMNS)}
+        "uninspected_contracts": f"WITH {CONSUMO}, {windows(VALID)}, {NEGATIVES} SELECT * FROM unlabelled",
+        "negative_sample": f"WITH {CONSUMO}, {windows(VALID)}, {NEGATIVES} SELECT * FROM negatives",
+        "attr_distinct_counts": f"WITH {CONSUMO}, {windows(VALID)}, {DISTINCT} SELECT * FROM dist",
+        "attr_change_counts": f"""WITH {CONSUMO}, {windows(VALID)}, {CHANGES} SELECT contrato, cutoff, {comma(CHANGE_COLUMNS)}
 FROM (SELECT DISTINCT contrato, cutoff FROM win) {JOIN_CHANGES}""",
-        "latest_attributes": f"WITH {CONSUMO}, {windows(SIX)}, {LATEST} SELECT * FROM latest",
-        "wide_pivot": f"{panel(SIX)} SELECT contrato, cutoff, {comma(month_values('v'))} FROM ser GROUP BY contrato, cutoff",
-        "null_count": f"{panel(SIX)} SELECT contrato, cutoff, count(*) FILTER (v IS NULL) AS cant_null FROM ser GROUP BY ALL",
-        "gap_fill": f"{panel(SIX)} SELECT contrato, cutoff, {comma(month_values('x'))} FROM ser GROUP BY contrato, cutoff",
-        "population_ratios": f"""{panel(ONE)}, {POPULATION_SUMS}, {POPULATION}, {LATEST}, {RATIO_PARTS}
-SELECT contrato, categoria, {comma(RATIOS)} FROM ids JOIN latest USING (contrato, cutoff)
+        "latest_attributes": f"WITH {CONSUMO}, {windows(VALID)}, {LATEST} SELECT * FROM latest",
+        "wide_pivot": f"{panel(VALID)} SELECT contrato, cutoff, {comma(month_values('v'))} FROM ser GROUP BY contrato, cutoff",
+        "null_count": f"{panel(VALID)} SELECT contrato, cutoff, count(*) FILTER (v IS NULL) AS cant_null FROM ser GROUP BY ALL",
+        "gap_fill": f"{panel(VALID)} SELECT contrato, cutoff, {comma(month_values('x'))} FROM ser GROUP BY contrato, cutoff",
+        "population_ratios": f"""{panel(VALID)}, {POPULATION_SUMS}, {POPULATION}, {LATEST}, {RATIO_PARTS}
+SELECT contrato, cutoff, categoria, {comma(RATIOS)} FROM ids JOIN latest USING (contrato, cutoff)
 JOIN levels USING (contrato, cutoff) LEFT JOIN pop USING (cutoff, categoria)""",
         "calendar_features": f"{CUTOFFS_OF_LABELS} SELECT cutoff, {comma(CALENDAR)} FROM c",
-        "label_join": f"""{panel(SIX)}, {LABELS} SELECT ids.contrato, cutoff, {comma(LABEL_COLUMNS)} FROM ids
+        "label_join": f"""{panel(VALID)} SELECT ids.contrato, cutoff, {comma(LABEL_COLUMNS)} FROM ids
 LEFT JOIN labels l ON l.contrato = ids.contrato AND l.date = ids.cutoff""",
         "inference_wide": wide_sql(ONE),
         "inference_wide_allow_list": wide_sql(
-            ONE, [*[r6(c, c) for c in POPULATION_COLUMNS], RATIOS[2]], f", {LABELS}", "(SELECT * FROM wide_ids "
+            ONE, [*[r6(c, c) for c in POPULATION_COLUMNS], RATIOS[2]], "", "(SELECT * FROM wide_ids "
             "WHERE contrato IN (SELECT contrato FROM labels WHERE is_fraud = 1))"),
         "train_wide_multi_cutoff": wide_sql(
-            SIX, None, f", {LABELS}, {NEGATIVES}, targets AS (SELECT contrato, date AS cutoff FROM labels "
+            VALID, None, f", {NEGATIVES}, targets AS (SELECT contrato, date AS cutoff FROM labels "
             "UNION ALL SELECT contrato, cutoff FROM negatives)", "targets",
             "LEFT JOIN labels l ON l.contrato = targets.contrato AND l.date = targets.cutoff", LABEL_COLUMNS
         ).replace("SELECT contrato, cutoff AS date_fizcalizacion", "SELECT targets.contrato, cutoff AS date_fizcalizacion"),
         # series features
-        "trend_percentages": f"{SER} SELECT contrato, " + comma([
-            r6(_trend(b, e), f"trend_{b}_{e}") for b, e, _ in TREND_DROPS]) + " FROM ser GROUP BY contrato",
-        "trend_drop_flags": f"{SER} SELECT contrato, " + comma([
+        "trend_percentages": f"{SER} SELECT ventana, " + comma([
+            r6(f"round({_trend(b, e)}, 3)", f"trend_{b}_{e}") for b, e, _ in TREND_DROPS]) + " FROM ser GROUP BY ventana",
+        "trend_drop_flags": f"{SER} SELECT ventana, " + comma([
             big(f"100 - {_trend(b, e)} > {th}", f"trend_perc_{b}_{e}") for b, e, th in TREND_DROPS])
-            + " FROM ser GROUP BY contrato",
-        "constant_runs": f"{SER}, {RUNS} SELECT contrato, " + comma([
-            big(f"max(len) >= {r}", f"constant_{r}") for r in CONSTANT_RUNS]) + " FROM runs WHERE m = 12 GROUP BY contrato",
-        "zero_runs": f"{SER}, {RUNS} SELECT contrato, " + comma([
+            + " FROM ser GROUP BY ventana",
+        "constant_runs": f"{SER}, {RUNS} SELECT ventana, " + comma([
+            big(f"max(len) >= {r}", f"constant_{r}") for r in CONSTANT_RUNS]) + " FROM runs WHERE m = 12 GROUP BY ventana",
+        "zero_runs": f"{SER}, {RUNS} SELECT ventana, " + comma([
             big(f"coalesce(sum(len) FILTER (m = {m} AND x = 0), 0)", f"cant_ceros_{m}") for m in (3, 6, 12)], [
             big(f"coalesce(max(len) FILTER (m = {m} AND x = 0 AND len >= 2), 0)", f"max_cant_ceros_seg_{m}")
-            for m in (3, 6, 12)]) + " FROM runs GROUP BY contrato",
+            for m in (3, 6, 12)]) + " FROM runs GROUP BY ventana",
         "series_moments": moments_sql(MOMENTS),
         "series_slope": moments_sql(["slope_3", "slope_6", "slope_12"]),
-        "row_minmax": f"{SER}, ext AS (SELECT contrato, min(x) AS lo, max(x) AS hi FROM ser GROUP BY ALL) SELECT contrato, "
+        "row_minmax": f"{SER}, ext AS (SELECT ventana, min(x) AS lo, max(x) AS hi FROM ser GROUP BY ALL) SELECT ventana, "
             + comma([r6(f"max(CASE WHEN i = {i} THEN CASE WHEN hi = lo THEN 0 ELSE (x - lo) / (hi - lo) END END)", f"x_{i}")
-                     for i in range(12)]) + " FROM ser JOIN ext USING (contrato) GROUP BY contrato",
+                     for i in range(12)]) + " FROM ser JOIN ext USING (ventana) GROUP BY ventana",
         "ts_statistical": STATISTICAL,
         "ts_temporal": TEMPORAL,
         "ts_spectral": SPECTRAL,
