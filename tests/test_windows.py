@@ -1,11 +1,12 @@
 import datetime as dt
+import random
 
 import pytest
 from helpers import as_set, rows, sorted_rows
 from pyspark.sql import functions as F
 
 from gotera.operators import cutoffs as windows, profile, wide
-from gotera.operators.population import population_stats
+from gotera.operators.population import contract_sums, population_stats
 
 JAN = dt.date(2024, 1, 1)
 
@@ -159,3 +160,43 @@ def test_population_and_negatives_slice_without_another_contract_shuffle(spark):
     assert shuffles(population_stats(data, months)) == 3       # months, contrato, category results
     assert shuffles(population_stats(data, months[:1])) == 2
     assert shuffles(wide.negative_sample(data, label, months, 5)) == 5  # two of them over at most k rows per task
+
+
+def test_sliding_sums_match_brute_force(spark):
+    """Contracts with gaps shorter and longer than a window, in several categories, over all cutoffs."""
+    rng = random.Random(3)
+    data = []
+    for contract in "abcdef":
+        for month in range(1, 61):
+            for _ in range(rng.choice([0, 0, 1, 2]) if not 20 < month < 20 + rng.choice([3, 13, 30]) else 0):
+                data.append({"contrato": contract, "date": windows.shift_months(dt.date(2015, 1, 1), month),
+                             "consumo": rng.choice([None, 0.0, 1.0, 7.5]), "categoria": rng.choice(["X", "Y", None])})
+    cutoffs = [windows.shift_months(dt.date(2015, 6, 1), m) for m in range(70) if m % 7]
+    expected = {}
+    for c in cutoffs:
+        for r in data:
+            back = (c.year - r["date"].year) * 12 + c.month - r["date"].month
+            if r["categoria"] and 1 <= back <= 12:
+                held = expected.setdefault((c, r["categoria"], r["contrato"]), {12: 0.0})
+                for m in (12, 6, 3):
+                    if back <= m:
+                        held[m] = held.get(m, 0.0) + (r["consumo"] or 0.0)
+    got = contract_sums(rows(spark, data), cutoffs)
+    assert as_set(got, "cutoff", "categoria", "contrato", "sum_12", "sum_6", "sum_3") == {
+        (*key, v[12], v.get(6), v.get(3)) for key, v in expected.items()}
+    assert got.count() == len(expected)
+    opened = wide.window_contracts(rows(spark, data), cutoffs)
+    pairs = {(r["contrato"], c) for r in data for c in cutoffs if 1 <= windows_back(c, r["date"]) <= 12}
+    assert {(r["contrato"], c) for r in opened.collect() for c in r["cutoffs"]} == pairs
+
+
+def windows_back(cutoff, date):
+    return (cutoff.year - date.year) * 12 + cutoff.month - date.month
+
+
+def test_sliding_sums_do_not_multiply_months(spark):
+    """A contract with a row in every month opens each window once."""
+    months = [{"contrato": "a", "date": windows.shift_months(dt.date(2015, 1, 1), m), "consumo": 1.0, "categoria": "X"} for m in range(48)]
+    cutoffs = [windows.shift_months(dt.date(2015, 1, 1), m) for m in range(1, 61)]
+    made = rows(spark, months).select("contrato", "date").distinct()
+    assert windows.windows_opened(made, ["contrato"], cutoffs).count() == 59
