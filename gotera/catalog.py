@@ -10,7 +10,7 @@ import functools
 import uuid
 from collections.abc import Callable
 
-from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
+from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F, types as T
 
 from gotera.functions import series, text
 from gotera.functions.features import consumption_features, domain_features
@@ -99,12 +99,17 @@ def labelled_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 # --- sources and sinks ------------------------------------------------------------------------------------------------
 
-def write_raw_zone(df: DataFrame, raw_dir: str, source: str) -> None:
-    """Raw CSV files of every month, below folders that carry <source>_YYYY_MM."""
+def write_raw_zone(df: DataFrame, raw_dir: str, source: str, order: tuple[Column, ...] = ()) -> None:
+    """Raw CSV files of every month, below folders that carry <source>_YYYY_MM.
+
+    Rows are cut into ranges of month and position, so a month with most of the rows is many files; their names follow the
+    ranges, and so does the order in which they are read.
+    """
     tag = F.concat_ws("_", F.lit(source), F.lpad(F.col("year").cast("string"), 4, "0"),
                       F.lpad(F.col("month").cast("string"), 2, "0"))
     (
-        df.withColumn("lote", tag).drop("year", "month", "pos").repartition("lote")
+        df.withColumn("lote", tag).drop("year", "month").repartitionByRange("lote", "pos")
+        .sortWithinPartitions("lote", "pos", *order).drop("pos")
         .write.partitionBy("lote").option("header", True)
         .option("ignoreLeadingWhiteSpace", False).option("ignoreTrailingWhiteSpace", False).csv(f"{raw_dir}/{source}")
     )
@@ -113,8 +118,10 @@ def write_raw_zone(df: DataFrame, raw_dir: str, source: str) -> None:
 def raw_zone(spark: SparkSession, sf_dir: str, *sources: str) -> str:
     root = scratch(spark)
     views = {"consumo": fx.raw_consumption, "inspecciones": fx.raw_inspections}
+    # a row and its copy with an unusable month have one position; the copy, whose month is longer, comes second
+    order = {"consumo": (F.length("fecha_mes"),)}
     for source in sources:
-        write_raw_zone(views[source](spark, sf_dir), f"{root}/raw", source)
+        write_raw_zone(views[source](spark, sf_dir), f"{root}/raw", source, order.get(source, ()))
     return root
 
 
@@ -135,7 +142,11 @@ def interim_zone(spark: SparkSession, sf_dir: str, source: str, keep: Column | N
 @query
 def raw_month_read(spark, sf_dir):
     root = raw_zone(spark, sf_dir, "consumo")
-    return raw.read_raw(spark, f"{root}/raw", "consumo").select(*RAW_COLUMNS["consumo"], "year", "month")
+    # what stands before a row among those of its contract and month tells the order of the rows
+    along = Window.partitionBy("niu", "year", "month").orderBy("pos")
+    return raw.read_raw(spark, f"{root}/raw", "consumo").withColumn(
+        "before", F.lag(F.concat_ws("|", "determinacion_consumo", "fecha_mes")).over(along)
+    ).select(*RAW_COLUMNS["consumo"], "year", "month", "before")
 
 
 @query
@@ -157,7 +168,9 @@ def etl_summary(spark, sf_dir):
 def interim_round_trip(spark, sf_dir):
     root = raw_zone(spark, sf_dir, "consumo")
     etl.run_monthly_etl(spark, f"{root}/raw", f"{root}/interim", ["consumo"])
-    return interim.load_interim(spark, f"{root}/interim", "consumo").drop("pos", "file_month")
+    along = Window.partitionBy("contrato", "file_month").orderBy("pos")
+    return interim.load_interim(spark, f"{root}/interim", "consumo").withColumn(
+        "before", F.lag(F.concat_ws("|", "determinacion_consumo", "consumo")).over(along)).drop("pos", "file_month")
 
 
 @query

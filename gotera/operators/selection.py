@@ -126,12 +126,22 @@ def select_by_constancy(df: DataFrame, features: Sequence[str], threshold: float
 
 
 def with_shadows(ranked: DataFrame, features: Sequence[str], rows: int, run: int) -> DataFrame:
-    """Add ``shadow_<f>``: the feature values of the row that lies a run's shift further in one fixed hash order."""
-    shift = 1 + int(hashlib.md5(f"shadow{run}".encode(), usedforsecurity=False).hexdigest(), 16) % max(rows - 1, 1)
-    other = ranked.select(
-        (F.pmod(F.col("_rank") + shift, F.lit(max(rows, 1)))).alias("_at"),
-        *[F.col(f"`{f}`").alias(f"shadow_{f}") for f in features])
-    return ranked.withColumn("_at", F.pmod(F.col("_rank"), F.lit(max(rows, 1)))).join(other, "_at").drop("_at")
+    """Add ``shadow_<f>``: each feature's values of the rows that lie a shift of its own further in one fixed hash order.
+
+    Features get different shifts, so their shadows are shuffled against each other too, not only against the rows. All
+    values travel in one shuffle, by the place that they go to.
+    """
+    def shift(f: str) -> int:
+        drawn = hashlib.md5(f"shadow{run}|{f}".encode(), usedforsecurity=False).hexdigest()
+        return 1 + int(drawn, 16) % max(rows - 1, 1)
+
+    size = F.lit(max(rows, 1))
+    moved = F.explode(F.array(*[
+        F.struct(F.pmod(F.col("_rank") + shift(f), size).alias("_at"), F.lit(i).alias("number"), F.col(f"`{f}`").alias("value"))
+        for i, f in enumerate(features)]))
+    other = ranked.select(moved.alias("m")).groupBy(F.col("m._at").alias("_at")).agg(*[
+        F.max(F.when(F.col("m.number") == i, F.col("m.value"))).alias(f"shadow_{f}") for i, f in enumerate(features)])
+    return ranked.withColumn("_at", F.pmod(F.col("_rank"), size)).join(other, "_at").drop("_at")
 
 
 def forest_votes(

@@ -422,13 +422,16 @@ SELECT contrato, date, is_fraud, pos, year, month FROM (SELECT *, row_number() O
 def plain_sql() -> dict[str, str]:
     return {
         # sources and sinks
-        "raw_month_read": f"WITH {RAW_CONSUMO} SELECT {RAW_NAMES}, year, month FROM raw_consumo",
+        "raw_month_read": f"""WITH {RAW_CONSUMO} SELECT {RAW_NAMES}, year, month,
+  lag(concat_ws('|', determinacion_consumo, fecha_mes)) OVER (
+    PARTITION BY niu, year, month ORDER BY pos, length(fecha_mes)) AS before FROM raw_consumo""",
         "pending_months": f"WITH {ITEMS}, {RAW_INSPECTIONS} SELECT DISTINCT year, month FROM raw_inspections WHERE year > 1998",
         "etl_summary": f"""WITH {ITEMS}, {RAW_INSPECTIONS}, n AS (
   SELECT 'inspecciones' AS source, count(DISTINCT year * 100 + month) AS c FROM raw_inspections UNION ALL
   SELECT 'consumo', count(DISTINCT year * 100 + month) FROM items)
 SELECT source, c AS processed, CAST(0 AS BIGINT) AS skipped, c AS total_pending FROM n""",
-        "interim_round_trip": f"WITH {CONSUMO} SELECT {CLEAN_NAMES} FROM consumo",
+        "interim_round_trip": f"""WITH {CONSUMO} SELECT {CLEAN_NAMES}, lag(concat_ws('|', determinacion_consumo,
+  CAST(consumo AS VARCHAR))) OVER (PARTITION BY contrato, file_month ORDER BY pos) AS before FROM consumo""",
         "streamed_interim": f"WITH {ITEMS}, {LABELS} SELECT contrato, date, is_fraud, year, month FROM labels",
         "interim_pruned_scan": f"""WITH {CONSUMO} SELECT contrato, date, consumo, categoria, pos FROM consumo
   WHERE file_month BETWEEN 199801 AND 199901""",

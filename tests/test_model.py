@@ -229,3 +229,42 @@ def test_slow_learning_keeps_many_trees(spark):
     assert last == pytest.approx(report.ranking_quality(scored)["auc"], abs=0.01)
     with pytest.raises(ValueError):
         modelling.boosted_trees({"max_depth": 31})
+
+
+def test_samples_are_cut_by_hash_without_moving_the_majority(spark, monkeypatch):
+    """The first rows in hash order, also with buckets of many rows, ties of equal keys and every possible size."""
+    monkeypatch.setattr(sampling, "BUCKET_DIGITS", 1)
+    keys = [f"k{i}" for i in range(200)] + ["same"] * 30
+    df = spark.createDataFrame([(k, i) for i, k in enumerate(keys)], "key string, n int")
+    hashes = sorted(r["h"] for r in df.select(sampling.stable_hash("key", seed=7).alias("h")).collect())
+    for k in (0, 1, 17, 100, 229, 230, 400):
+        first, others = sampling.split_by_hash(df, ["key"], k, 7)
+        got = sorted(r["h"] for r in first.select(sampling.stable_hash("key", seed=7).alias("h")).collect())
+        assert got == hashes[:k] and others.count() == len(keys) - len(got)
+    rows = spark.createDataFrame([(f"a{i}", 0) for i in range(400)] + [(f"b{i}", 1) for i in range(60)], "key string, target int")
+    monkeypatch.undo()
+    for made in (sampling.oversample(rows, ["key"], 0.5), sampling.undersample(rows, ["key"], 0.5)):
+        plan = made._jdf.queryExecution().executedPlan().toString()
+        # only rows at the bound are numbered
+        assert plan.count("Exchange") == plan.count("Window [row_number")
+    counts = {r["target"]: r["count"] for r in sampling.oversample(rows, ["key"], 0.5).groupBy("target").count().collect()}
+    assert counts == {0: 400, 1: 200}
+
+
+def test_quality_of_nothing_is_zero(spark):
+    none = spark.createDataFrame([], "score double, target int")
+    nulls = spark.createDataFrame([(None, 1), (None, 0)], "score double, target int")
+    for rows in (none, nulls):
+        assert report.ranking_quality(rows) == {"auc": 0.0, "average_precision": 0.0}
+
+
+def test_shadows_are_shuffled_against_each_other(spark):
+    """Two equal features have shadows that agree no more often than by chance, each with the feature's own values."""
+    rows = spark.range(500).select(F.col("id").alias("_rank"), F.hash("id").cast("double").alias("a"), F.hash("id").cast("double").alias("b"))
+    made = selection.with_shadows(rows, ["a", "b"], 500, 0).collect()
+    for f in "ab":
+        assert sorted(r[f"shadow_{f}"] for r in made) == sorted(r[f] for r in made)
+        assert sum(r[f"shadow_{f}"] == r[f] for r in made) == 0
+    assert sum(r["shadow_a"] == r["shadow_b"] for r in made) == 0
+    other = {r["_rank"]: r["shadow_a"] for r in selection.with_shadows(rows, ["a", "b"], 500, 1).collect()}
+    assert sum(other[r["_rank"]] == r["shadow_a"] for r in made) == 0
