@@ -12,9 +12,10 @@ from gotera.llm.common import fresh, quoted, run_folder, stored
 from gotera.operators.skew import broadcast_if_small
 
 #: Binary levels that one stored level of node rows spans.
-SPAN = 8
+SPAN = 10
 #: Node rows are broadcast to the climbing leaves up to this many bytes; beyond it the join is shuffled.
 BROADCAST_BYTES = 64_000_000
+ROW_LIMIT = "spark.sql.cteRecursionRowLimit"
 TOP = -1
 DIGESTS = ["leaf", "subroot", "root", "proof_sha256", "folded_root"]
 
@@ -110,15 +111,16 @@ def node_rows(nodes: DataFrame, level: int, span: int) -> DataFrame:
     blocks = nodes.groupBy("tree", block.alias("block")).agg(
         F.first("n").alias("n"), F.first("rank").alias("rank"), F.array_sort(F.collect_list(content)).alias("held"))
     risen = blocks.withColumn("levels", levels_of(F.transform("held", lambda h: hexed(h["digest"])), F.col("n"), span))
-    each = risen.select("tree", "n", "rank", "block", "levels", F.posexplode("held").alias("place", "node"))
+    # a block's levels stay in its row: its nodes leave it with their own steps only
+    each = risen.select("tree", "n", "rank", "block", F.explode(F.transform("held", lambda h, i: F.struct(
+        h.alias("node"), steps_of(F.col("levels"), i, F.col("n"), span).alias("steps"),
+        F.when(i == 0, F.unhex(F.get(F.element_at("levels", -1), F.lit(0)))).alias("up")))).alias("e"))
     inner, top = F.col("n") > 2**span, F.col("tree") == TOP
     return each.select(
-        "tree", F.lit(level).alias("level"), "node.*", "n", "rank",
-        steps_of(F.col("levels"), F.col("place"), F.col("n"), span).alias("steps"),
+        "tree", F.lit(level).alias("level"), "e.node.*", "n", "rank", "e.steps",
         F.when(inner, F.col("tree")).when(~top, F.lit(TOP).cast("bigint")).alias("parent_tree"),
         F.when(inner, F.lit(level + 1)).when(~top, F.lit(0)).alias("parent_level"),
-        F.when(inner, F.col("block")).when(~top, F.col("rank")).alias("parent_pos"),
-        F.when(F.col("place") == 0, F.unhex(F.get(F.element_at("levels", -1), F.lit(0)))).alias("up"))
+        F.when(inner, F.col("block")).when(~top, F.col("rank")).alias("parent_pos"), "e.up")
 
 
 def climb_up(rows: DataFrame, n: int, folder: str, span: int) -> list[DataFrame]:
@@ -211,8 +213,9 @@ def climbed(manifest: Manifest, start: Column, carried: Sequence[str], span: int
     passed = "".join(f"c.`{c}`, " for c in carried)
     folding = ("aggregate(n.steps, lower(hex(c.folded)), (acc, s) -> sha2(if(s.left, "
                "concat(coalesce(lower(hex(s.sibling)), ''), acc), concat(acc, coalesce(lower(hex(s.sibling)), ''))), 256))")
+    limit = spark.conf.get(ROW_LIMIT)
     try:
-        spark.conf.set("spark.sql.cteRecursionRowLimit", "-1")
+        spark.conf.set(ROW_LIMIT, "-1")
         found = spark.sql(f"""
             WITH RECURSIVE climb AS (
               SELECT {kept} own_tree, folded, proof, parent_tree AS tree, parent_level AS level, parent_pos AS pos
@@ -226,7 +229,7 @@ def climbed(manifest: Manifest, start: Column, carried: Sequence[str], span: int
             SELECT {kept} own_tree, folded, proof FROM climb WHERE tree IS NULL""")
         return stored(found, "climbed")
     finally:
-        spark.conf.unset("spark.sql.cteRecursionRowLimit")
+        spark.conf.set(ROW_LIMIT, limit)
         for view in views:
             spark.catalog.dropTempView(view)
 

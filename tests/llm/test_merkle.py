@@ -72,7 +72,7 @@ def example():
     return rows
 
 
-@pytest.mark.parametrize("span", [1, 3, 8])
+@pytest.mark.parametrize("span", [1, 3, 10])
 def test_every_proof_matches_brute_force(spark, span):
     rows = example()
     got = proved(spark, rows, F.col("doc_id") % 3 == 0, span=span)
