@@ -1,3 +1,4 @@
+import hashlib
 import math
 import random
 import re
@@ -30,23 +31,57 @@ def test_base_kinds_match_brute_force(spark):
     given = texts()
     df = spark.createDataFrame(list(enumerate(given)), "doc_id long, text string").withColumn("hits", F.lit(1)).withColumn(
         "tokens", F.lit(None).cast("string"))
-    for r in secrets.find_secrets(df, least=[9.0] * 4).collect():
+    for r in secrets.find_secrets(df, least=[float("inf")] * 4, spelling={}).collect():
         assert [tuple(s) for s in r["secrets"]] == base(given[r["doc_id"]]) and r["hits"] == 1
 
 
-def test_random_tokens_are_found_and_text_is_not(spark):
+# Names of public programming interfaces, paths and words, all of 20 or more token characters.
+NAMES = """viewDidLoadWithCustomBackgroundXyzHandlerQ AbstractSingletonProxyFactoryBean thequickbrownfoxjumpsoverthelazydog
+packmyboxwithfivedozenliquorjugs getElementsByClassNameAndTagName NSUserDefaultsDidChangeNotification
+org/apache/hadoop/mapreduce/lib/input MAX_CONNECTIONS_PER_ROUTE_DEFAULT requestAnimationFrameCallbackList
+java-util-concurrent-ThreadPoolExecutor SimpleDateFormatSymbolsProvider2 x86_64-unknown-linux-gnu-gcc
+com/google/common/collect/ImmutableListMultimap InternationalizationConfigurationManager applicationDidFinishLaunchingWithOptions
+tableView_cellForRowAtIndexPath_animated HttpURLConnectionOutputStreamWriter pneumonoultramicroscopicsilicovolcanoconiosis
+some-quite-long-file-name-in-a-path/and/more/of/the/same EXT_texture_compression_s3tc_srgb GL_COMPRESSED_RGBA_S3TC_DXT5_EXT
+std__vector__const_iterator__operator java/lang/IllegalArgumentException AutoConfigureMockMvcPrintOption
+UIInterfaceOrientationMaskAllButUpsideDown kCFStreamPropertySocketSecurityLevel antidisestablishmentarianism
+Donaudampfschifffahrtsgesellschaft Rindfleischetikettierungsgesetz anticonstitutionnellement electroencefalografista
+usr/local/share/doc/packages/README __cxa_throw_bad_array_new_length BufferedReaderInputStreamFactory
+Wjpxq2VectorQuantizerKernelBuilder ZipkinB3HeaderPropagationJFilter sha256WithRSAEncryptionAlgorithm
+onActivityResultLauncherCallback2 PEM_read_bio_X509_AUX_callback SELECT_FOR_UPDATE_SKIP_LOCKED_ROWS""".split()
+
+
+def test_random_tokens_are_found_and_names_are_not(spark):
+    """Of a table of names, with ordinary text to learn letter pairs from or without, nothing is reported; random tokens of
+    every encoding are."""
     rng = random.Random(1)
-    letters = string.ascii_letters + string.digits
-    key = lambda n: "".join(rng.choice(letters) for _ in range(n))
-    plain = "some-quite-long-file-name-in-a-path/and/more/of/the/same pneumonoultramicroscopicsilicovolcanoconiosis " \
-            "aaaaaaaaaaaaaaaaaaaaaaaaaaaaaaaaaaaa abcdefghijklmnopqrstuvwxyz0123456789ABCDEFGHIJKLMNOPQRSTUVWXYZ 1" + "23" * 11
-    rows = [(i, plain) for i in range(40)] + [(100 + i, f"the key {key(40)}, kept") for i in range(20)]
-    got = secrets.find_secrets(spark.createDataFrame(rows, "doc_id long, text string")).collect()
-    kinds = {r["doc_id"]: [s["kind"] for s in r["secrets"]] for r in got}
-    assert all(not kinds[i] for i in range(40))
-    assert sum(kinds[100 + i] == ["random"] for i in range(20)) >= 18
-    span = next(r for r in got if kinds[r["doc_id"]] == ["random"])
-    assert span["text"][span["secrets"][0]["start"]:span["secrets"][0]["end"]] == span["text"].split()[2].rstrip(",")
+    encodings = {alphabet for _, alphabet in secrets.ENCODINGS if len(alphabet) > 10} - {string.digits + "abcdef"}
+    assert len(encodings) == 8
+    keys = ["".join(rng.choice(alphabet) for _ in range(n)) for alphabet in sorted(encodings) for n in (32, 40, 64) for _ in range(6)]
+    plain = "aaaaaaaaaaaaaaaaaaaaaaaaaaaaaaaaaaaa abcdefghijklmnopqrstuvwxyz0123456789ABCDEFGHIJKLMNOPQRSTUVWXYZ 1" + "23" * 11
+    prose = " ".join(r["text"] for r in spark.read.parquet("/root/testdata/sf0.001/documents.parquet").where("lang = 'en'").limit(40).collect())
+    rows = [(i, f"see {name}, or") for i, name in enumerate(NAMES)] + [(500 + i, plain) for i in range(40)]
+    rows += [(1_000 + i, f"the key {key}, kept") for i, key in enumerate(keys)]
+    for extra in ([], [(5_000, prose), (5_001, prose), (5_002, prose)]):
+        got = secrets.find_secrets(spark.createDataFrame(rows + extra, "doc_id long, text string")).collect()
+        spans = {r["doc_id"]: [(s["start"], s["end"]) for s in r["secrets"] if s["kind"] == "random"] for r in got}
+        assert [name for i, name in enumerate(NAMES) if spans[i]] == []
+        assert not any(spans[500 + i] for i in range(40))
+        right = [spans[1_000 + i] == [(8, 8 + len(key))] for i, key in enumerate(keys)]
+        assert sum(right) >= 0.95 * len(keys)
+
+
+def test_what_cannot_be_reported_sets_no_bound(spark):
+    """Base secrets are no tests, and tokens that fail the battery are no discoveries."""
+    rng = random.Random(2)
+    key = lambda n: "".join(rng.choice(string.ascii_letters + string.digits) for _ in range(n))
+    even = string.ascii_letters + string.digits
+    rows = [(i, f"token={key(40)} {even} AKIA{key(30).upper()}") for i in range(50)]
+    bounds = secrets.thresholds(spark.createDataFrame(rows, "doc_id long, text string"), "text", {})
+    assert bounds == [float("inf")] * 4
+    more = rows + [(100 + i, key(40)) for i in range(5)]
+    bounds = secrets.thresholds(spark.createDataFrame(more, "doc_id long, text string"), "text", {})
+    assert bounds[0] == bounds[2] == bounds[3] == float("inf") and 2 <= bounds[1] < float("inf")
 
 
 def test_false_discovery_threshold():
@@ -54,21 +89,44 @@ def test_false_discovery_threshold():
     assert secrets.benjamini_hochberg([(0, 80, 10), (0, 0, 90), (1, 40, 1), (1, 0, 99)], 0.01) == [4.0] + [float("inf")] * 3
 
 
-def test_evidence_reaches_beyond_many_tokens(spark, monkeypatch):
-    z = [-35.0, -20.0, -12.5, -7.0, -6.0, -5.001, -4.999, -3.0, 0.0, 2.0]
-    got = spark.createDataFrame([(v,) for v in z], "z double").select("z", secrets.tail_evidence(F.col("z")).alias("e")).collect()
-    assert all(abs(r["e"] + math.log10(math.erfc(-r["z"] / math.sqrt(2)) / 2)) < 1e-3 for r in got)
-    # a single random token among a hundred thousand million plain ones: evidence of 13 is asked for
-    tokens = spark.createDataFrame([(20.0,)], "e double").select(
-        F.array(F.struct(F.lit(3).alias("cell"), F.col("e").alias("evidence"))).alias("tokens"))
-    monkeypatch.setattr(secrets, "random_tokens", lambda df, text, out: tokens.withColumnRenamed("tokens", out))
-    seen = []
-    monkeypatch.setattr(secrets, "benjamini_hochberg", lambda counts, rate: seen.extend(counts))
-    secrets.thresholds(spark.createDataFrame([("x",)], "text string"), "text")
-    monkeypatch.undo()
-    ((cell, strong, n),) = seen
-    bound = secrets.benjamini_hochberg([(cell, strong, n), (cell, 0, 10**11)], 0.01)[3]
-    assert 13 <= bound <= 20
+def test_chances_of_names_add_up():
+    for pairs in ({}, {"th": 50, "he": 40, "qu": 3, "zz": 1}):
+        costs = secrets.name_costs(pairs)
+        for i in range(64):
+            assert abs(sum(10 ** -c for c in costs[64 * i:64 * i + 64]) - 1) < 1e-9
+
+
+def test_evidence_matches_brute_force(spark):
+    """Evidence and battery of single tokens, computed anew in Python."""
+    rng = random.Random(5)
+    tokens = ["".join(rng.choice(alphabet) for _ in range(rng.randrange(20, 70))) for _, alphabet in secrets.ENCODINGS[1:] for _ in range(4)]
+    tokens += NAMES[:20]
+    pairs = {"th": 50, "he": 40, "in": 30, "er": 20}
+    costs = secrets.name_costs(pairs)
+    df = spark.createDataFrame(list(enumerate(tokens)), "doc_id long, text string")
+    literal = F.array(*[F.lit(c) for c in costs])
+    for r in secrets.random_tokens(df, "text", "found", literal).collect():
+        body = tokens[r["doc_id"]].translate(str.maketrans("-_", "+/"))
+        alphabet = next(a for pattern, a in secrets.ENCODINGS if re.search(pattern, body))
+        at = [secrets.SYMBOLS.index(c) for c in body]
+        evidence = sum(costs[64 * a + b] for a, b in zip(at, at[1:])) - (len(body) - 1) * math.log10(len(alphabet)) - 1
+        (found,) = r["found"]
+        assert abs(found["evidence"] - evidence) < 1e-6 and found["usable"]
+        n, k, codes = len(body), len(alphabet), [alphabet.index(c) + 1 for c in body]
+        chi = k / n * sum(body.count(c) ** 2 for c in set(body)) - n
+        below = lambda z: math.erfc(-z / math.sqrt(2)) / 2
+        df1 = k - 1
+        p_chi = 1 - below(((chi / df1) ** (1 / 3) - (1 - 2 / (9 * df1))) / math.sqrt(2 / (9 * df1)))
+        half = [c * 2 > k for c in codes]
+        high, low = sum(half), n - sum(half)
+        if high and low:
+            mean_runs = 2 * high * low / n + 1
+            z = (1 + sum(a != b for a, b in zip(half, half[1:])) - mean_runs) / math.sqrt(max((mean_runs - 1) * (mean_runs - 2) / (n - 1), 1e-9))
+            mean = sum(codes) / n
+            serial = (sum(a * b for a, b in zip(codes, codes[1:])) / (n - 1) - mean * mean) / max(sum(c * c for c in codes) / n - mean * mean, 1e-9)
+            least = min(p_chi, 2 * below(-abs(z)), 2 * below(-abs(serial * math.sqrt(n))))
+            if abs(3 * least - secrets.BATTERY_LEVEL) > 1e-5:
+                assert found["fits"] == (3 * least >= secrets.BATTERY_LEVEL)
 
 
 def test_redaction_and_empty_table(spark):
@@ -101,13 +159,88 @@ def test_licenses_match_brute_force(spark):
         assert (r["score"] == 1.0) if places else (r["score"] >= 0)
 
 
-def test_license_text_with_changes(spark):
-    whole = next(t for t, label in licenses.TEMPLATES.items() if label == "bsd-text").split()
+def places(spark, texts, **given):
+    """(label, first word, end word, score) of the template places of each text."""
+    df = spark.createDataFrame([(t,) for t in texts], "text string")
+    found = {}
+    for r in licenses.license_places(df, **given).where("not exact").collect():
+        found.setdefault(r["content"], []).append((r["label"], r["first_word"], r["end_word"], r["score"]))
+    return [sorted(found.get(hashlib.md5(t.encode()).hexdigest(), [])) for t in texts]
+
+
+def test_license_texts_with_changes(spark):
+    bsd = next(t for t, label in licenses.TEMPLATES.items() if label == "bsd-2-text")
+    whole = words(bsd)
     changed = [*whole[:9], "put", "in", *whole[9:]]
-    rows = [(1, " ".join(whole)), (2, "before " + " ".join(changed).upper()), (3, " ".join(whole[:10]))]
+    rows = [(1, bsd), (2, "before " + " ".join(changed).upper()), (3, " ".join(whole[:100])), (4, None)]
     got = {r["doc_id"]: r for r in licenses.scan_licenses(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
-    assert got[1]["labels"] == "bsd-text" and got[1]["score"] == 1.0
-    assert got[2]["labels"] == "bsd-text" and 0.8 <= got[2]["score"] < 1.0
-    assert got[3]["labels"] == "" and got[3]["score"] == 0.0 and got[3]["base_labels"] == ""
+    assert got[1]["labels"] == "bsd-2-text" and got[1]["score"] == 1.0
+    assert got[2]["labels"] == "bsd-2-text" and got[2]["score"] == len(whole) / (len(whole) + 2)
+    for i in (3, 4):
+        assert got[i]["labels"] == "" and got[i]["score"] == 0.0 and got[i]["base_labels"] == ""
+    assert places(spark, ["before " + " ".join(changed)]) == [[("bsd-2-text", 1, len(whole) + 3, len(whole) / (len(whole) + 2))]]
     empty = spark.createDataFrame([], "doc_id long, text string")
     assert licenses.scan_licenses(empty).count() == 0
+
+
+def test_every_template_is_found_where_it_stands(spark):
+    texts = [f"x y {t} and {t}" for t in licenses.TEMPLATES]
+    for (t, label), found in zip(licenses.TEMPLATES.items(), places(spark, texts)):
+        n = len(words(t))
+        assert found == [(label, 2, 2 + n, 1.0), (label, 3 + n, 3 + 2 * n, 1.0)]
+
+
+def common(a, b):
+    """Length of the longest common subsequence."""
+    row = [0] * (len(b) + 1)
+    for x in a:
+        last = 0
+        for j, y in enumerate(b):
+            last, row[j + 1] = row[j + 1], last + 1 if x == y else max(row[j + 1], row[j])
+    return row[-1]
+
+
+def test_places_are_alignments(spark):
+    """Changed copies are found where they were put, and every score is one that an alignment of the words can reach."""
+    rng = random.Random(6)
+    word = lambda: "".join(rng.choice("abcdefgh") for _ in range(3))
+    made = {" ".join(word() for _ in range(n)): f"t{n}" for n in (4, 7, 12, 30, 80)}
+    texts, put = [], []
+    for t, label in made.items():
+        for share in (0, 0.04, 0.08, 0.5):
+            copy = t.split()
+            for _ in range(int(len(copy) * share)):
+                at = rng.randrange(len(copy))
+                copy[at:at + rng.randrange(2)] = [word()] * rng.randrange(2)
+            before = [word() for _ in range(rng.randrange(30))]
+            texts.append(" ".join(before + copy + [word() for _ in range(20)]))
+            put.append((label, len(before), len(before) + len(copy), t.split(), share))
+    grams = next(iter(t for t in made if len(t.split()) == 30)).split()
+    shuffled = [grams[i:i + 4] for i in range(27)]
+    rng.shuffle(shuffled)
+    texts += [" ".join(w for g in shuffled for w in g), " ".join(w for w in grams for _ in range(3))]
+    found = places(spark, texts, templates=made, phrases={"no such phrase": "none"})
+    assert found[-1] == found[-2] == []
+    for (label, first, end, t, share), text, spans in zip(put, texts, found):
+        if share == 0:
+            assert (label, first, end, 1.0) in spans
+        if share == 0.04 and len(t) >= 30:
+            assert any(s[0] == label and abs(s[1] - first) <= 4 and abs(s[2] - end) <= 4 for s in spans)
+        for name, a, b, score in spans:
+            whole = next(k for k, v in made.items() if v == name).split()
+            assert 0.8 <= score <= common(whole, text.split()[a:b]) / max(len(whole), b - a)
+
+
+def test_all_grams_out_of_place_are_no_license(spark):
+    opening = words(licenses.BSD_TERMS)[:21]
+    jumbled = [w for i in range(17, -1, -1) for w in opening[i:i + 4]]
+    given = {" ".join(opening): "bsd-opening"}
+    assert places(spark, [" ".join(jumbled), " ".join(opening)], templates=given) == [[], [("bsd-opening", 0, 21, 1.0)]]
+
+
+def test_long_drifts_are_cut(spark):
+    """Diagonals that follow one another without end are no single place, and a copy among them is found."""
+    t = [f"w{i}" for i in range(40)]
+    drifting = [w for i in range(0, 36) for w in [*t[i:i + 4], "x"]]
+    (found,) = places(spark, [" ".join(drifting + t + drifting)], templates={" ".join(t): "t"})
+    assert found == [("t", len(drifting), len(drifting) + 40, 1.0)]
