@@ -10,11 +10,10 @@ import pyarrow as pa
 import regex
 from pyspark.sql import DataFrame, types as T
 
-from gotera.llm.common import quoted
+from gotera.llm.common import BATCH_BYTES, beside_text, mapped, quoted
 
 LONG = 100_000
 STEP = 50_000
-BATCH_BYTES = 4_000_000
 # Places where the split pattern of byte-level BPE ends a match whatever follows: a letter or digit before ASCII white
 # space, and inside unbroken ASCII text a change of class after a letter or digit. Letters of both sides of a boundary are
 # classed alike by every Unicode version.
@@ -74,18 +73,18 @@ def encode(df: DataFrame, rank_file: str, pattern: str, text: str = "text", out:
     read on the driver and sent along (under a megabyte). Rows stay in their partitions; a column named ``out`` is replaced.
     """
     kept = [c for c in df.columns if c.lower() != out.lower()]
-    source = df.select(*[quoted(c) for c in kept], quoted(text).cast("string").alias("_text"))
+    source, at = beside_text(df, kept, text)
     ranks = df.sparkSession.sparkContext.broadcast(rank_bytes(rank_file))
 
     def run(batches):
         coder = encoding(ranks.value, pattern)
-        for batch in weighed(batches, len(kept)):
-            found = [token_ids(coder, value.as_py() or "") for value in batch.column(len(kept))]
+        for batch in weighed(batches, at):
+            found = [token_ids(coder, value.as_py() or "") for value in batch.column(at)]
             ends = np.cumsum([0, *map(len, found)], dtype=np.int32)
             ids = pa.ListArray.from_arrays(pa.array(ends), pa.array(np.concatenate(found), type=pa.int32()))
-            yield pa.RecordBatch.from_arrays([*batch.columns[:-1], ids], names=[*kept, out])
+            yield pa.RecordBatch.from_arrays([*batch.columns[:len(kept)], ids], names=[*kept, out])
 
-    return source.mapInArrow(run, source.drop("_text").schema.add(out, T.ArrayType(T.IntegerType())))
+    return mapped(source, run, df.select(*[quoted(c) for c in kept]).schema.add(out, T.ArrayType(T.IntegerType())))
 
 
 def decode(df: DataFrame, rank_file: str, pattern: str, ids: str = "ids", out: str = "decoded") -> DataFrame:
@@ -104,4 +103,4 @@ def decode(df: DataFrame, rank_file: str, pattern: str, ids: str = "ids", out: s
             found = [None if value is None else coder.decode_bytes(value) for value in batch.column(len(kept)).to_pylist()]
             yield pa.RecordBatch.from_arrays([*batch.columns[:-1], pa.array(found, type=pa.binary())], names=[*kept, out])
 
-    return source.mapInArrow(run, source.drop("_ids").schema.add(out, "binary"))
+    return mapped(source, run, source.drop("_ids").schema.add(out, "binary"))

@@ -5,6 +5,7 @@ from __future__ import annotations
 import heapq
 import math
 from bisect import bisect_left
+from collections import Counter
 from collections.abc import Iterator
 
 import numpy as np
@@ -12,7 +13,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, functions as F, types as T
 
 from gotera.llm.bpe import weighed
-from gotera.llm.common import fresh, quoted, stored
+from gotera.llm.common import Scratch, fresh, mapped, quoted, stored
 from gotera.llm.components import connected
 from gotera.operators.skew import broadcast_if_small
 
@@ -21,12 +22,19 @@ PERCENT = 80
 #: Shared prefix tokens that a pair has at least: a twentieth of the set, and 16 where the set is large enough.
 LEAST_SHARED, SHARE = 16, 20
 CELL_DOCS = 2_048
-CELL_SHINGLES = 1_000_000
-KNOWN_WORDS = 300_000
-KNOWN_TEXTS = 200_000
+CELL_SHINGLES = 500_000
+OWN_DOCS = 16
+KNOWN_WORDS = 100_000
+KNOWN_SETS = 200_000
+#: Postings that are packed into one batch, and how often a batch holds a token that is dealt to ``DEALS`` tasks.
+PACKED = 100_000
+OFTEN = 16
+DEALS = 64
+#: Rows of a few numbers (some 100 bytes each once broadcast) up to which a side is broadcast.
+BROADCAST_ROWS = 250_000
 DIVIDE_MU = 0.01
-HEAP_POSTINGS = 64
-LONG_LIST = 1_024
+#: Pairs of a list and a candidate that are probed at once.
+PROBED = 1 << 20
 
 
 class WordHashes(dict):
@@ -84,221 +92,231 @@ def signed(values: np.ndarray) -> np.ndarray:
     return values.view(np.int64)
 
 
-def set_key(tokens: np.ndarray) -> bytes:
+def class_of(tokens: np.ndarray) -> int:
+    """A 64-bit name of a set."""
     import xxhash
 
-    return xxhash.xxh3_128_digest(tokens.tobytes())
+    return int.from_bytes(xxhash.xxh3_64_digest(tokens.tobytes()), "little", signed=True)
 
 
-def class_of(key: bytes) -> int:
-    return int.from_bytes(key[:8], "little", signed=True)
+def set_rows(df: DataFrame, text: str, key: str, width: int, percent: int) -> DataFrame:
+    """(id, text_hash, n, cls, posted) of every row: its set's size and name, and on the first row of the task that has
+    the set, its smallest shingle hashes as bytes, n - T + l of them.
 
-
-def set_rows(df: DataFrame, text: str, key: str, width: int) -> DataFrame:
-    """(id, text_hash, n, set_key, cls) of every row: its set's size, 128-bit hash and that hash's first half."""
+    T = percent of n is what two similar sets share at least. By position, two sets that share T or more share at least l
+    of their n - T + l smallest hashes, l being the smaller of theirs.
+    """
     source = df.select(quoted(key).alias("id"), F.xxhash64(quoted(text)).alias("text_hash"), quoted(text).alias("text"))
-    names = ["id", "text_hash", "n", "set_key", "cls"]
     schema = T.StructType([source.schema["id"], T.StructField("text_hash", T.LongType()), T.StructField("n", T.LongType()),
-                           T.StructField("set_key", T.BinaryType()), T.StructField("cls", T.LongType())])
+                           T.StructField("cls", T.LongType()), T.StructField("posted", T.BinaryType())])
 
     def run(batches):
-        words = WordHashes()
+        words, seen = WordHashes(), set()
         for batch in weighed(batches, 2):
             sets = [shingles(v.as_py(), words, width) for v in batch.column(2)]
-            keys = [set_key(s) for s in sets]
+            names = [class_of(s) for s in sets]
+            if len(seen) > KNOWN_SETS:
+                seen.clear()
+            told = []
+            for name, found in zip(names, sets):
+                n = len(found)
+                smallest = found[:n - at_least(n, percent) + shared_at_least(n, percent)]
+                told.append(smallest.tobytes() if n and name not in seen else None)
+                seen.add(name)
             yield pa.RecordBatch.from_arrays(
-                [batch.column(0), batch.column(1), pa.array([len(s) for s in sets], pa.int64()), pa.array(keys, pa.binary()),
-                 pa.array([class_of(k) for k in keys], pa.int64())], names=names)
+                [batch.column(0), batch.column(1), pa.array([len(s) for s in sets], pa.int64()), pa.array(names, pa.int64()),
+                 pa.array(told, pa.binary())], names=schema.names)
 
-    return source.mapInArrow(run, schema)
+    return mapped(source, run, schema)
 
 
-def unseen(batches, column: int) -> Iterator[tuple[int, str]]:
-    """(text hash, text) of a task's rows, skipping texts it has just had."""
-    seen: set[int] = set()
-    for batch in batches:
-        for mark, value in zip(batch.column(0).to_pylist(), batch.column(column)):
-            if mark in seen:
-                continue
-            if len(seen) >= KNOWN_TEXTS:
-                seen.clear()
-            seen.add(mark)
-            yield mark, value.as_py()
+def hashes_of(value) -> np.ndarray:
+    return np.frombuffer(value.as_py(), np.uint64)
 
 
-def postings(df: DataFrame, text: str, width: int, percent: int) -> DataFrame:
-    """(token, cls): the smallest shingle hashes of each set, n - T + l of them.
+def postings(sets: DataFrame) -> DataFrame:
+    """(token, deal, cls) of the posted hashes of (cls, posted).
 
-    T = percent of n is what two similar sets share at least. By position, two sets that share T or more share at least l
-    of their n - T + l smallest hashes, l being the smaller of theirs.
+    A token that a batch holds many times is known to be shared: two of its postings go the usual way (deal 0, which
+    tells that the token is shared to postings elsewhere), the others are dealt to many tasks by their class.
     """
-    source = df.where(quoted(text).isNotNull()).select(F.xxhash64(quoted(text)).alias("mark"), quoted(text).alias("text"))
-
     def run(batches):
-        words = WordHashes()
-        held, owners, size = [], [], 0
-
-        def packed() -> pa.RecordBatch:
-            return pa.RecordBatch.from_arrays(
-                [pa.array(signed(np.concatenate(held))),
-                 pa.array(np.repeat(np.array(owners, np.int64), [len(h) for h in held]))], names=["token", "cls"])
-
-        for _, value in unseen(batches, 1):
-            found = shingles(value, words, width)
-            n = len(found)
-            if not n:
-                continue
-            held.append(found[:n - at_least(n, percent) + shared_at_least(n, percent)])
-            owners.append(class_of(set_key(found)))
-            size += len(held[-1])
-            if size >= 200_000:
-                yield packed()
-                held, owners, size = [], [], 0
-        if held:
-            yield packed()
-
-    return source.mapInArrow(run, "token bigint, cls bigint")
-
+        def packed(held: list[np.ndarray], owners: list[int]) -> pa.RecordBatch:
+            token = signed(np.concatenate(held))
+            cls = np.repeat(np.array(owners, np.int64), [len(h) for h in held])
+            order = np.argsort(token, kind="stable")
+            token, cls = token[order], cls[order]
+            starts = np.flatnonzero(np.r_[True, token[1:] != token[:-1]])
+            sizes = np.diff(np.r_[starts, len(token)])
+            place = np.arange(len(token)) - np.repeat(starts, sizes)
+            spread = (np.repeat(sizes, sizes) >= OFTEN) & (place >= 2)
+            deal = np.where(spread, 1 + cls.view(np.uint64) % np.uint64(DEALS), np.uint64(0)).astype(np.int32)
+            return pa.RecordBatch.from_arrays([pa.array(token), pa.array(deal), pa.array(cls)], names=["token", "deal", "cls"])
 
-def shared_only(rows: DataFrame) -> DataFrame:
-    """Distinct (token, cls) whose token another cls has too; one pass over the sorted rows, holding one batch."""
-    def run(batches):
-        last: tuple[int, int, bool] | None = None
-        for batch in batches:
-            token, cls = (batch.column(i).to_numpy(zero_copy_only=False) for i in range(2))
-            if not len(token):
-                continue
-            if last:
-                token, cls = np.r_[np.int64(last[0]), token], np.r_[np.int64(last[1]), cls]
-            new = np.r_[True, (token[1:] != token[:-1]) | (cls[1:] != cls[:-1])]
-            token, cls = token[new], cls[new]
-            same = token[1:] == token[:-1]
-            before, after = np.r_[False, same], np.r_[same, False]
-            emit = before | after
-            given = bool(last and last[2])
-            last = (int(token[-1]), int(cls[-1]), bool(emit[-1]) or (given and len(token) == 1))
-            if given:
-                emit[0] = False
-            if emit.any():
-                yield pa.RecordBatch.from_arrays([pa.array(token[emit]), pa.array(cls[emit])], names=["token", "cls"])
+        for batch in weighed(batches, 1):
+            held, owners, size = [], [], 0
+            for owner, value in zip(batch.column(0).to_pylist(), batch.column(1)):
+                held.append(hashes_of(value))
+                owners.append(owner)
+                size += len(held[-1])
+                if size >= PACKED:
+                    yield packed(held, owners)
+                    held, owners, size = [], [], 0
+            if held:
+                yield packed(held, owners)
 
-    return rows.repartition("token").sortWithinPartitions("token", "cls").mapInArrow(run, "token bigint, cls bigint")
+    return mapped(sets, run, "token bigint, deal int, cls bigint")
 
 
 def whole_sets(df: DataFrame, text: str, width: int, wanted: DataFrame) -> DataFrame:
-    """(cls, tokens) of the texts whose hash is ``wanted``: their whole sets as bytes."""
+    """(cls, tokens): the whole sets, as bytes, of the texts whose ``text_hash`` is wanted."""
     source = df.select(F.xxhash64(quoted(text)).alias("text_hash"), quoted(text).alias("text")).join(
-        broadcast_if_small(wanted.select("text_hash").distinct()), "text_hash", "left_semi")
+        broadcast_if_small(wanted, BROADCAST_ROWS), "text_hash", "left_semi")
 
     def run(batches):
-        words = WordHashes()
+        words, seen = WordHashes(), set()
         for batch in weighed(batches, 1):
-            held = [shingles(value, words, width) for _, value in unseen([batch], 1)]
-            held = [h for h in held if len(h)]
-            yield pa.RecordBatch.from_arrays([pa.array([class_of(set_key(h)) for h in held], pa.int64()),
-                                              pa.array([h.tobytes() for h in held], pa.binary())], names=["cls", "tokens"])
+            if len(seen) > KNOWN_SETS:
+                seen.clear()
+            fresh_ones = []
+            for i, mark in enumerate(batch.column(0).to_pylist()):
+                if mark not in seen:
+                    seen.add(mark)
+                    fresh_ones.append(i)
+            sets = [shingles(batch.column(1)[i].as_py(), words, width) for i in fresh_ones]
+            yield pa.RecordBatch.from_arrays([pa.array([class_of(s) for s in sets], pa.int64()),
+                                              pa.array([s.tobytes() for s in sets], pa.binary())], names=["cls", "tokens"])
 
-    return source.mapInArrow(run, "cls bigint, tokens binary").dropDuplicates(["cls"])
+    return mapped(source, run, "cls bigint, tokens binary").dropDuplicates(["cls"])
 
 
-def verified(df: DataFrame, text: str, width: int, percent: int, pairs: DataFrame, classes: DataFrame) -> DataFrame:
-    """The pairs (a, b) of classes whose whole sets are similar."""
-    ends = pairs.select(F.explode(F.array("a", "b")).alias("cls")).distinct()
-    sets = stored(whole_sets(df, text, width, ends.join(classes.select("cls", "text_hash"), "cls")), "sets")
-    named = lambda end, out: sets.select(F.col("cls").alias(end), F.col("tokens").alias(out))
-    both = pairs.join(named("a", "left"), "a").join(named("b", "right"), "b").select("a", "b", "left", "right")
+def shared_only(rows: DataFrame) -> DataFrame:
+    """(token, cls) whose token another cls has too; one pass over the sorted rows, holding one batch.
 
+    Rows come once for each deal of their token, so at most a few times; a token held by a third of all sets is spread
+    over many tasks, of which that of deal 0 gets two postings of a batch that holds it often.
+    """
     def run(batches):
+        last: tuple[int, int, int, bool] | None = None
         for batch in batches:
-            keep = []
-            for i, (one, two) in enumerate(zip(batch.column(2), batch.column(3))):
-                one, two = (np.frombuffer(v.as_py(), np.uint64) for v in (one, two))
-                met = len(np.intersect1d(one, two, assume_unique=True))
-                if 100 * met >= percent * (len(one) + len(two) - met):
-                    keep.append(i)
-            yield pa.RecordBatch.from_arrays([batch.column(c).take(pa.array(keep, pa.int64())) for c in range(2)], names=["a", "b"])
+            token, deal, cls = (batch.column(i).to_numpy(zero_copy_only=False).astype(np.int64) for i in range(3))
+            if not len(token):
+                continue
+            if last:
+                token, deal, cls = (np.r_[np.int64(v), column] for v, column in zip(last, (token, deal, cls)))
+            group = (token[1:] != token[:-1]) | (deal[1:] != deal[:-1])
+            new = np.r_[True, group | (cls[1:] != cls[:-1])]
+            token, deal, cls = token[new], deal[new], cls[new]
+            same = (token[1:] == token[:-1]) & (deal[1:] == deal[:-1])
+            emit = np.r_[False, same] | np.r_[same, False] | (deal > 0)
+            given = bool(last and last[3])
+            last = (int(token[-1]), int(deal[-1]), int(cls[-1]), bool(emit[-1]) or (given and len(token) == 1))
+            if given:
+                emit[0] = False
+            if emit.any():
+                yield pa.RecordBatch.from_arrays([pa.array(token[emit]), pa.array(cls[emit])], names=["token", "cls"])
 
-    return stored(both.mapInArrow(run, "a bigint, b bigint"), "links")
+    order = ["token", "deal"]
+    return mapped(rows.repartition(*order).sortWithinPartitions(*order, "cls"), run, "token bigint, cls bigint")
 
 
-def merge_skip(lists: list[list[int]], need: int) -> Iterator[tuple[int, int]]:
-    """(member, count) of what stands in at least ``need`` of the sorted lists, by a heap that skips what cannot."""
-    heap = [(l[0], i) for i, l in enumerate(lists)]
+def merge_skip(lists: list[list[int]], need: int) -> tuple[list[int], list[int]]:
+    """Members of at least ``need`` of the sorted lists, and in how many they are, by a heap that skips what cannot be.
+
+    The heap holds the head of every list. Lists whose heads are equal are taken off together; where they are too few,
+    more are taken off until need - 1 are out, and all of them skip, by binary search, to the head that is then on top:
+    nothing before it can stand in ``need`` lists.
+    """
+    found, counts, many = [], [], len(lists)
+    heap = [held[0] * many + i for i, held in enumerate(lists)]
     heapq.heapify(heap)
-    at = [0] * len(lists)
+    at = [0] * many
     while len(heap) >= need:
-        top = heap[0][0]
+        top = heap[0] // many
+        beyond = (top + 1) * many
         popped = []
-        while heap and heap[0][0] == top:
-            popped.append(heapq.heappop(heap)[1])
+        while heap and heap[0] < beyond:
+            popped.append(heapq.heappop(heap) % many)
+        floor = top + 1
         if len(popped) >= need:
-            yield top, len(popped)
-            floor = top + 1
+            found.append(top)
+            counts.append(len(popped))
         else:
             while heap and len(popped) < need - 1:
-                popped.append(heapq.heappop(heap)[1])
+                popped.append(heapq.heappop(heap) % many)
             if not heap:
-                return
-            floor = max(heap[0][0], top + 1)
+                break
+            floor = max(heap[0] // many, floor)
         for i in popped:
-            at[i] = bisect_left(lists[i], floor, at[i])
-            if at[i] < len(lists[i]):
-                heapq.heappush(heap, (lists[i][at[i]], i))
+            held, place = lists[i], at[i]
+            if held[place] < floor:
+                place = bisect_left(held, floor, place + 1)
+            if place < len(held):
+                at[i] = place
+                heapq.heappush(heap, held[place] * many + i)
+    return found, counts
+
 
+def set_aside(longest: int, need: int) -> int:
+    """DivideSkip's rule: how many of the longest lists are probed instead of merged."""
+    return min(need - 1, int(need / (DIVIDE_MU * math.log2(longest + 1) + 1)))
 
-def divide_skip(members: np.ndarray, starts: np.ndarray, ends: np.ndarray, need: int) -> tuple[np.ndarray, np.ndarray]:
-    """T-occurrence: members of at least ``need`` of the sorted lists members[start:end], and in how many they are.
 
-    The longest lists are set aside; what is left is merged, and the members found often enough are probed in the lists
-    set aside by binary search, all at once. Few postings are merged by heap, many by counting members in place, which
-    numpy does faster than a heap can skip; a list shorter than ``LONG_LIST`` costs less to count than to probe.
+def divide_skip(keys: np.ndarray, count: int, starts: np.ndarray, ends: np.ndarray, need: int) -> tuple[np.ndarray, np.ndarray]:
+    """T-occurrence: members of at least ``need`` of the sorted lists, and in how many they are.
+
+    ``keys`` are list number * count + member, sorted, and a list is a slice of them. The longest lists are set aside;
+    the short ones are merged by a heap for what stands in at least need minus as many, and what is found is looked up
+    in the lists set aside by binary search.
     """
+    sizes = ends - starts
     none = np.zeros(0, np.int64), np.zeros(0, np.int64)
-    long_enough = ends - starts
-    if len(long_enough) < need:
+    if len(sizes) < need:
         return none
-    order = np.argsort(-long_enough, kind="stable")
-    aside = min(need - 1, int(need / (DIVIDE_MU * math.log2(long_enough[order[0]] + 1) + 1)),
-                int(np.count_nonzero(long_enough > LONG_LIST)))
-    long, short = order[:aside], order[aside:]
-    sizes = long_enough[short]
-    if sizes.sum() <= HEAP_POSTINGS:
-        merged = list(merge_skip([members[starts[i]:ends[i]].tolist() for i in short], need - aside))
-        if not merged:
-            return none
-        found, counts = (np.array(c, np.int64) for c in zip(*merged))
-    else:
-        before = np.cumsum(sizes) - sizes
-        times = np.bincount(members[np.repeat(starts[short] - before, sizes) + np.arange(sizes.sum())])
-        found = np.flatnonzero(times >= need - aside)
-        counts = times[found]
-    for done, i in enumerate(long):
-        probed = members[starts[i]:ends[i]]
-        at = np.minimum(np.searchsorted(probed, found), len(probed) - 1)
-        counts = counts + (probed[at] == found)
-        hopeful = counts + (len(long) - done - 1) >= need
+    order = np.argsort(-sizes, kind="stable")
+    aside = set_aside(int(sizes[order[0]]), need)
+    short = order[aside:]
+    upto = np.cumsum(sizes[short])
+    before = upto - sizes[short]
+    members = (keys[np.repeat(starts[short] - before, sizes[short]) + np.arange(upto[-1])] % count).tolist()
+    found, counts = (np.array(c, np.int64) for c in merge_skip(
+        [members[i:j] for i, j in zip(before.tolist(), upto.tolist())], need - aside))
+    done = 0
+    while done < aside and len(found):
+        base = keys[starts[order[done:min(aside, done + max(1, PROBED // len(found)))]]] // count * count
+        wanted = base[:, None] + found[None, :]
+        at = np.minimum(np.searchsorted(keys, wanted), len(keys) - 1)
+        counts = counts + (keys[at] == wanted).sum(axis=0)
+        done += len(base)
+        hopeful = counts + (aside - done) >= need
         found, counts = found[hopeful], counts[hopeful]
     return found[counts >= need], counts[counts >= need]
 
 
 class CellIndex:
-    """Inverted lists of the whole sets of a cell's documents, as slices of one array sorted by token."""
+    """Inverted lists of the whole sets of a cell's documents (cls, comp, tokens), as slices of one sorted array."""
 
-    def __init__(self, docs: list[tuple], percent: int):
+    def __init__(self, docs: list[tuple[int, int, np.ndarray]], percent: int):
+        self.docs, self.sizes = docs, Counter(d[1] for d in docs)
         self.n = np.array([len(d[2]) for d in docs], np.int64)
-        tokens = np.concatenate([d[2] for d in docs])
+        self.count, self.percent = len(docs), percent
+        tokens = np.concatenate([d[2] for d in docs]) if docs else np.zeros(0, np.uint64)
         order = np.argsort(tokens, kind="stable")
-        self.tokens, first = np.unique(tokens[order], return_index=True)
-        self.ends = np.r_[first, len(tokens)]
-        self.members = np.repeat(np.arange(len(docs)), self.n)[order]
-        self.percent = percent
+        tokens = tokens[order]
+        first = np.flatnonzero(np.r_[True, tokens[1:] != tokens[:-1]][:len(tokens)])
+        self.tokens, self.ends = tokens[first], np.r_[first, len(tokens)]
+        number = np.repeat(np.arange(len(first)), np.diff(self.ends))
+        self.keys = number * self.count + np.repeat(np.arange(len(docs)), self.n)[order]
+
+    def without(self, comp: int) -> CellIndex:
+        return CellIndex([d for d in self.docs if d[1] != comp], self.percent)
 
     def similar(self, whole: np.ndarray) -> np.ndarray:
         """Numbers of the documents that are similar to the asking one, the most alike first."""
         at = np.searchsorted(self.tokens, whole)
         here = at < len(self.tokens)
         at = at[here][self.tokens[at[here]] == whole[here]]
-        found, met = divide_skip(self.members, self.ends[at], self.ends[at + 1], at_least(len(whole), self.percent))
+        found, met = divide_skip(self.keys, self.count, self.ends[at], self.ends[at + 1], at_least(len(whole), self.percent))
         linked = 100 * met >= self.percent * (len(whole) + self.n[found] - met)
         return found[linked][np.argsort(-met[linked], kind="stable")]
 
@@ -306,10 +324,12 @@ class CellIndex:
 def search_cells(percent: int):
     """Streams cells sorted with their indexed documents first; each asking document is searched in the cell's lists.
 
-    A link joins two components for the rest of the cell, so of the links between two components one is given.
+    A link joins two components for the rest of the cell, so of the links between two components one is given, and who is
+    joined with all documents of the cell asks no more. Links inside a component change nothing: where ``OWN_DOCS`` or
+    more documents of the asking one's component are indexed, it is searched in lists without them.
     """
     def run(batches):
-        cell, docs, index, label = None, [], None, {}
+        cell, docs, index, others, label, roots = None, [], None, (None, None), {}, set()
 
         def root(comp: int) -> int:
             while label.get(comp, comp) != comp:
@@ -321,25 +341,59 @@ def search_cells(percent: int):
             columns = [batch.column(i).to_pylist() for i in range(5)]
             for i, (lead, part, turn, cls, comp) in enumerate(zip(*columns)):
                 if (lead, part) != cell:
-                    cell, docs, index, label = (lead, part), [], None, {}
-                whole = np.frombuffer(batch.column(5)[i].as_py(), np.uint64)
+                    cell, docs, index, others, label = (lead, part), [], None, (None, None), {}
                 if turn == 0:
-                    docs.append((cls, comp, whole))
+                    docs.append((cls, comp, hashes_of(batch.column(5)[i])))
                     continue
                 if not docs:  # a part of a few very long documents can hold none of them
                     continue
-                index = index or CellIndex(docs, percent)
-                for number in index.similar(whole).tolist():
-                    mine, theirs = root(comp), root(docs[number][1])
+                if index is None:
+                    index = CellIndex(docs, percent)
+                    roots = set(index.sizes)
+                if roots == {root(comp)}:
+                    continue
+                if index.sizes[comp] >= OWN_DOCS and others[0] != comp:
+                    others = comp, index.without(comp)
+                searched = others[1] if others[0] == comp else index
+                for number in searched.similar(hashes_of(batch.column(5)[i])).tolist():
+                    mine, theirs = root(comp), root(searched.docs[number][1])
                     if mine != theirs:
-                        found.append((cls, docs[number][0]))
+                        found.append((cls, searched.docs[number][0]))
                         label[max(mine, theirs)] = min(mine, theirs)
+                        roots -= {mine, theirs}
+                        roots.add(min(mine, theirs))
             yield pa.RecordBatch.from_arrays([pa.array([p[i] for p in found], pa.int64()) for i in range(2)], names=["a", "b"])
 
     return run
 
 
-def across(posted: DataFrame, classes: DataFrame, labels: DataFrame, percent: int, sets_of) -> DataFrame:
+def parts_of(number: Column, shingles: Column) -> Column:
+    """Parts of a cell: documents and shingles that are indexed together are bounded."""
+    return F.greatest(F.ceil(number / CELL_DOCS), F.ceil(shingles / CELL_SHINGLES)).cast("int")
+
+
+def own_part(parts: Column) -> Column:
+    return F.pmod(F.xxhash64("cls"), parts.cast("bigint")).cast("int")
+
+
+def met_in_cells(visits: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+    """Links (a, b) found in the cells of ``visits`` (lead, part, turn, cls, comp); turn 0 is indexed, turn 1 asks."""
+    cells = visits.join(sets, "cls").select("lead", "part", "turn", "cls", "comp", "tokens")
+    return mapped(cells.repartition("lead", "part").sortWithinPartitions("lead", "part", "turn", "comp"), search_cells(percent),
+                  "a bigint, b bigint")
+
+
+def led(star: DataFrame, sets_of, percent: int) -> DataFrame:
+    """Links (a, b) of each lead: it asks in the lists of the classes that ``star`` (lead, cls, n) brings to it."""
+    cells = star.groupBy("lead").agg(parts_of(F.count("*"), F.sum("n")).alias("parts"))
+    indexed = star.join(cells, "lead").select("lead", own_part(F.col("parts")).alias("part"), F.lit(0).alias("turn"), "cls")
+    asking = cells.select("lead", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)).alias("part"), F.lit(1).alias("turn"),
+                          F.col("lead").alias("cls"))
+    visits = indexed.unionByName(asking).withColumn("comp", F.col("cls"))
+    return met_in_cells(visits, sets_of(star.select(F.explode(F.array("lead", "cls")).alias("cls")).distinct()), percent)
+
+
+def across(posted: DataFrame, classes: DataFrame, labels: DataFrame, percent: int, sets_of, scratch: Scratch) -> DataFrame:
     """Links (a, b) between classes of different components, found by DivideSkip on the whole sets of a cell.
 
     ``sets_of`` gives (cls, tokens), the whole sets, of a table of classes.
@@ -349,7 +403,7 @@ def across(posted: DataFrame, classes: DataFrame, labels: DataFrame, percent: in
     cells: similar documents have one of these in common. The cell of a token is named by the first document of its
     list, so documents that share many tokens still meet in few cells. The largest component of a cell is indexed but
     does not ask, so a component with a third of all documents is not searched for itself. Cells over 2,048 documents or
-    a million shingles are dealt into parts that every asking document visits.
+    half a million shingles are dealt into parts that every asking document visits.
     """
     sizes = labels.groupBy("comp").agg(F.count("*").alias("size"))
     known = classes.select("cls", "n").join(labels.withColumnRenamed("node", "cls"), "cls", "left").withColumn(
@@ -362,61 +416,67 @@ def across(posted: DataFrame, classes: DataFrame, labels: DataFrame, percent: in
     docs = (
         held.join(per_token, "token").groupBy("cls").agg(
             F.first("n").alias("n"), F.first("comp").alias("comp"), F.first("size").alias("size"), F.array_sort(
-                F.collect_list(F.struct("df", "token", "lead"))).alias("held"))
+                F.array_distinct(F.collect_list(F.struct("df", "token", "lead")))).alias("held"))
         .where(F.size("held") >= lowest)
     )
     sent = F.array_distinct(F.transform(F.slice("held", F.lit(1), F.size("held") - lowest.cast("int") + 1), lambda h: h["lead"]))
-    routed = stored(docs.select("cls", "n", "comp", "size", F.explode(sent).alias("lead")), "routed")
+    routed = scratch.stored(docs.select("cls", "n", "comp", "size", F.explode(sent).alias("lead")), "routed")
     cells = routed.groupBy("lead").agg(
         F.min("comp").alias("low"), F.max("comp").alias("high"), F.max(F.struct("size", "comp")).alias("big"),
-        F.greatest(F.ceil(F.count("*") / CELL_DOCS), F.ceil(F.sum("n") / CELL_SHINGLES)).cast("int").alias("parts")).where("low <> high").select("lead", "big.comp", "parts").withColumnRenamed(
-        "comp", "big")
-    every, own = F.sequence(F.lit(0), F.col("parts") - 1), F.pmod(F.xxhash64("cls"), F.col("parts").cast("bigint")).cast("int")
-    visits = F.concat(F.array(F.struct(own.alias("part"), F.lit(0).alias("turn"))), F.when(
+        parts_of(F.count("*"), F.sum("n")).alias("parts")).where("low <> high").select(
+        "lead", F.col("big.comp").alias("big"), "parts")
+    every = F.sequence(F.lit(0), F.col("parts") - 1)
+    visits = F.concat(F.array(F.struct(own_part(F.col("parts")).alias("part"), F.lit(0).alias("turn"))), F.when(
         F.col("comp") != F.col("big"), F.transform(every, lambda p: F.struct(p.alias("part"), F.lit(1).alias("turn")))
     ).otherwise(F.array().cast("array<struct<part:int,turn:int>>")))
-    meeting = stored(routed.join(cells, "lead").select("lead", "cls", "comp", "big", "parts"), "meeting")
-    whole = sets_of(meeting.select("cls").distinct())
-    visiting = meeting.join(whole, "cls").select("lead", F.explode(visits).alias("v"), "cls", "comp", "tokens").select(
-        "lead", "v.part", "v.turn", "cls", "comp", "tokens")
-    return visiting.repartition("lead", "part").sortWithinPartitions("lead", "part", "turn").mapInArrow(
-        search_cells(percent), "a bigint, b bigint")
+    meeting = scratch.stored(routed.join(cells, "lead").select("lead", "cls", "comp", F.explode(visits).alias("v")).select(
+        "lead", "v.part", "v.turn", "cls", "comp"), "meeting")
+    return met_in_cells(meeting, sets_of(meeting.select("cls").distinct()), percent)
 
 
 def label_sets(df: DataFrame, text: str = "text", key: str = "doc_id", width: int = WIDTH,
                percent: int = PERCENT) -> DataFrame:
     """(id, text_hash, n, comp) of every row: its set size and the component of its set (null without words).
 
-    1. Equal sets are one class. Each class posts its smallest shingle hashes (see ``postings``); postings of tokens that
-       no other class has are dropped, and classes left with too few for any partner are out.
-    2. Each class is compared with the first class of its tokens' lists where that one leads enough of them. These
-       links, at most a few per class, already join large groups of near copies.
-    3. Pairs across the components of step 2 are searched by T-occurrence (``across``). All links are verified on whole
-       sets, and the components of both are the result.
+    1. Equal sets are one class. Each class posts its smallest shingle hashes (see ``set_rows``); postings of tokens that
+       no other class has are dropped, and classes left with too few for any partner are out. Only the texts of the others
+       are shingled once more, for their whole sets.
+    2. The first class of a token's list asks, by T-occurrence search (``divide_skip``), in the lists of the classes with
+       which it leads enough tokens. These links, at most a few per class, already join large groups of near copies.
+    3. Links across the components of step 2 are found by the same search in ``across``. Both search whole sets, so what
+       they find is similar; the components of both are the result.
 
     Every pair of similar sets is linked, or its ends are in one component already. No list, cell or pair is capped.
+    Tables on the way are removed as soon as the next ones stand.
     """
+    scratch = Scratch(df.sparkSession)
     source = df.select(quoted(key).alias("id"), quoted(text).alias("text"))
-    rows = stored(set_rows(source, "text", "id", width), "set-rows")
-    classes = stored(rows.where("n > 0").groupBy("set_key").agg(
-        F.first("cls").alias("cls"), F.first("n").alias("n"), F.min("text_hash").alias("text_hash")), "classes")
-    shared = stored(shared_only(postings(source, "text", width, percent)), "shared")
+    first = scratch.stored(set_rows(source, "text", "id", width, percent), "sets")
+    rows = scratch.stored(first.drop("posted"), "rows")
+    shared = scratch.stored(shared_only(postings(first.where("posted is not null").select("cls", "posted"))), "shared")
+    scratch.remove("sets")
     lowest = lowest_shared_column(F.col("n"), percent)
-    alive = stored(shared.groupBy("cls").agg(F.count("*").alias("c")).join(classes, "cls").where(
+    classes = rows.where("n > 0").groupBy("cls").agg(F.first("n").alias("n"), F.min("text_hash").alias("text_hash"))
+    alive = scratch.stored(shared.groupBy("cls").agg(F.count("*").alias("c")).join(classes, "cls").where(
         F.col("c") >= lowest).select("cls", "n", "text_hash"), "alive")
-    near = shared.join(broadcast_if_small(alive.select("cls", "n")), "cls")
+    near = shared.join(broadcast_if_small(alive.select("cls", "n"), BROADCAST_ROWS), "cls")
     leads = near.groupBy("token").agg(F.min("cls").alias("lead"), F.max("cls").alias("end")).where("lead <> end").drop("end")
-    posted = stored(near.join(leads, "token").select("token", "cls", "n", "lead"), "posted")
+    posted = scratch.stored(near.join(leads, "token").select("token", "cls", "n", "lead"), "posted")
+    scratch.remove("shared")
     star = posted.where("cls <> lead").groupBy("cls", "lead", "n").agg(F.count("*").alias("met")).where(
-        F.col("met") * 2 >= lowest).select(F.col("lead").alias("a"), F.col("cls").alias("b"))
-    first_links = verified(source, "text", width, percent, stored(star, "star"), alive)
+        F.col("met") * 2 >= lowest).select("lead", "cls", "n")
+    held = scratch.stored(whole_sets(source, "text", width, alive.select("text_hash")), "whole")
+    sets_of = lambda wanted: held.join(broadcast_if_small(wanted, BROADCAST_ROWS), "cls", "left_semi")
+    first_links = scratch.stored(led(scratch.stored(star, "star"), sets_of, percent), "links")
     labels = connected(first_links)
-    sets_of = lambda wanted: whole_sets(source, "text", width, wanted.join(alive.select("cls", "text_hash"), "cls"))
-    more = stored(across(posted, alive, labels, percent, sets_of), "across")
+    more = scratch.stored(across(posted, alive, labels, percent, sets_of, scratch), "across")
     if not more.isEmpty():
         labels = connected(first_links.unionByName(more))
     marked = rows.join(labels.withColumnRenamed("node", "cls"), "cls", "left")
-    return marked.select("id", "text_hash", "n", F.when(F.col("n") > 0, F.coalesce("comp", "cls")).alias("comp"))
+    labelled = stored(marked.select(
+        "id", "text_hash", "n", F.when(F.col("n") > 0, F.coalesce("comp", "cls")).alias("comp")), "labelled")
+    scratch.remove()
+    return labelled
 
 
 def join_components(df: DataFrame, text: str = "text", key: str = "doc_id", width: int = WIDTH,
@@ -441,7 +501,7 @@ def one_of_each(df: DataFrame, text: str = "text", key: str = "doc_id", width: i
     Rows to drop are named by key and text hash, so that the texts stay where they are; of rows that repeat the one to be
     kept, one is kept.
     """
-    rows = stored(label_sets(df, text, key, width, percent), "labelled")
+    rows = label_sets(df, text, key, width, percent)
     name = F.struct(F.col("id").isNull().alias("unnamed"), "id", "text_hash")
     keepers = rows.where("comp is not null").groupBy("comp").agg(F.min(name).alias("keep"))
     judged = rows.join(keepers, "comp").select("id", "text_hash", "comp", name.eqNullSafe(F.col("keep")).alias("kept"))
@@ -451,6 +511,6 @@ def one_of_each(df: DataFrame, text: str = "text", key: str = "doc_id", width: i
     verdicts = stored(counted.where("not kept or n > 1").select(
         F.col("id").alias(given), F.col("text_hash").alias(mark), F.col("kept").alias(kept), F.col("n").alias(n)), "verdicts")
     same = quoted(key).eqNullSafe(quoted(given)) & (named[mark] == verdicts[mark])
-    lone = named.join(broadcast_if_small(verdicts), same, "left_anti").drop(mark)
-    repeated = named.join(broadcast_if_small(verdicts.where(quoted(kept))), same, "left_semi").dropDuplicates([key, mark]).drop(mark)
+    lone = named.join(broadcast_if_small(verdicts, BROADCAST_ROWS), same, "left_anti").drop(mark)
+    repeated = named.join(broadcast_if_small(verdicts.where(quoted(kept)), BROADCAST_ROWS), same, "left_semi").dropDuplicates([key, mark]).drop(mark)
     return lone.unionByName(repeated)

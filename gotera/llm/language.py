@@ -7,7 +7,7 @@ import regex
 from pyspark.sql import Column, DataFrame, functions as F
 
 from gotera.llm.bpe import weighed
-from gotera.llm.common import quoted
+from gotera.llm.common import beside_text, mapped, quoted
 from gotera.operators.skew import smallest_per_group
 
 SAMPLE_ROWS = 200
@@ -88,15 +88,15 @@ def identify(df: DataFrame, dictionaries: dict[str, bytes], text: str = "text",
     """
     made = ("lang_pred", "score", "rejected")
     kept = [c for c in df.columns if c.lower() not in made]
-    source = df.select(*[quoted(c) for c in kept], quoted(text).cast("string").alias("_text"))
+    source, at = beside_text(df, kept, text)
     shared = df.sparkSession.sparkContext.broadcast(dictionaries)
 
     def run(batches):
         names, coders = list(shared.value), compressors(shared.value, level)
-        for batch in weighed(batches, len(kept)):
-            found = [classify(value.as_py(), names, coders, least_margin) for value in batch.column(len(kept))]
+        for batch in weighed(batches, at):
+            found = [classify(value.as_py(), names, coders, least_margin) for value in batch.column(at)]
             columns = [pa.array(list(c), type=t) for c, t in zip(zip(*found), (pa.string(), pa.float64(), pa.bool_()))]
-            yield pa.RecordBatch.from_arrays([*batch.columns[:-1], *columns], names=[*kept, *made])
+            yield pa.RecordBatch.from_arrays([*batch.columns[:len(kept)], *columns], names=[*kept, *made])
 
-    return source.mapInArrow(run, source.drop("_text").schema.add("lang_pred", "string").add("score", "double").add(
+    return mapped(source, run, df.select(*[quoted(c) for c in kept]).schema.add("lang_pred", "string").add("score", "double").add(
         "rejected", "boolean"))

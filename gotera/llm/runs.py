@@ -11,7 +11,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, types as T
 
 from gotera.llm.bpe import weighed
-from gotera.llm.common import fresh, quoted
+from gotera.llm.common import fresh, mapped, quoted
 
 LEAST = 12
 #: Words that are appended at once; catchers keep their state from one append to the next.
@@ -241,4 +241,4 @@ def detect(df: DataFrame, text: str = "text", key: str = "doc_id", alter: Callab
                 columns.append(pa.array([r[-1].decode("utf-8", "replace") for r in rows], pa.string()))
             yield pa.RecordBatch.from_arrays([batch.column(0), *columns], names=schema.names)
 
-    return source.mapInArrow(run, schema)
+    return mapped(source, run, schema)

@@ -17,7 +17,7 @@ def test_names_and_oracles():
 @pytest.mark.parametrize("name", sorted(set(sql.oracle_sql()) - {"op1_interleaved_shards"}))
 def test_query_equals_sql(spark, name):
     con = duckdb.connect()
-    for t in ("documents", "pages", "benchmark"):
+    for t in ("documents", "pages", "benchmark", "embeddings"):
         con.execute(f"CREATE VIEW {t} AS SELECT * FROM '{SF}/{t}.parquet'")
     made = registry.queries()[name](spark, SF)
     result = con.execute(sql.oracle_sql()[name])
