@@ -95,7 +95,12 @@ def contamination(docs: DataFrame, items: DataFrame, doc_id: str = "doc_id", ite
 
 def decontaminate(docs: DataFrame, items: DataFrame, text: str = "text", item_text: str = "text",
                   percent: int = PERCENT) -> DataFrame:
-    """The documents that hold no item; null and empty texts stay."""
+    """The rows of ``docs`` whose text holds no item; null, empty and blank texts stay.
+
+    It is the text that decides: of rows with one id, those with clean texts stay; rows that repeat a text share its
+    fate, and repeats stay repeated. An item held to exactly ``percent`` counts as held. Empty tables of documents or
+    items drop nothing.
+    """
     (content,) = fresh(docs.columns, "content")
     bad = stored(contained_items(docs, items, text, item_text, percent).select(
         F.col("content").alias(content)).distinct(), "contaminated")

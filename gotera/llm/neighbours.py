@@ -10,7 +10,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, Window, functions as F
 
-from gotera.llm.common import quoted, stored
+from gotera.llm.common import mapped, quoted, stored
 from gotera.operators.skew import broadcast_if_small
 
 TABLES = 6
@@ -20,7 +20,6 @@ INDEX_PER_CELL = 4_096
 QUERIES_PER_CELL = 1_024
 PENDING = 1_000_000
 BAND_STEP = 0x9E3779B97F4A7C15
-HASH_SCHEMA = "kind int, vid bigint, least bigint, vector array<float>, tab int, bucket bigint"
 CELL = ["tab", "bucket", "part", "deal"]
 
 
@@ -72,7 +71,7 @@ def hashed(vectors: DataFrame, bands: dict[int, list[tuple[int, float, int]]], t
     def run(batches):
         for batch in batches:
             kind, band = (batch.column(i).to_numpy(zero_copy_only=False) for i in (0, 4))
-            rows = [np.asarray(v, dtype=np.float32) for v in batch.column(3).to_numpy(zero_copy_only=False)]
+            rows = [np.asarray(v) for v in batch.column(3).to_numpy(zero_copy_only=False)]
             out = []
             for size in {len(r) for r in rows}:
                 every = np.array([i for i, r in enumerate(rows) if len(r) == size])
@@ -100,13 +99,14 @@ def hashed(vectors: DataFrame, bands: dict[int, list[tuple[int, float, int]]], t
                 part = out[start:start + 20_000]
                 take = np.array([p[0] for p in part])
                 chosen = batch.take(pa.array(take))
-                values = chosen.column(3) if with_vectors else pa.nulls(len(part), pa.list_(pa.float32()))
+                values = chosen.column(3) if with_vectors else pa.nulls(len(part), batch.schema.field(3).type)
                 yield pa.RecordBatch.from_arrays(
                     [chosen.column(0), chosen.column(1), chosen.column(2), values,
                      pa.array([p[1] for p in part], pa.int32()), pa.array([p[2] for p in part], pa.int64())],
                     names=["kind", "vid", "least", "vector", "tab", "bucket"])
 
-    return vectors.mapInArrow(run, HASH_SCHEMA)
+    number = vectors.schema["vector"].dataType.simpleString()
+    return mapped(vectors, run, f"kind int, vid bigint, least bigint, vector {number}, tab int, bucket bigint")
 
 
 def best_of(held: list[np.ndarray], keep: int) -> np.ndarray:
@@ -253,10 +253,9 @@ def candidates(index: DataFrame, queries: DataFrame, bands: dict[int, list[tuple
     counts = hashed(both, bands, tables, width, with_vectors=False).groupBy("tab", "bucket").agg(
         F.count(F.when(F.col("kind") == 0, 1)).alias("n_index"), F.count(F.when(F.col("kind") == 1, 1)).alias("n_query"))
     cells = dealt(hashed(both, bands, tables, width), counts)
-    met = cells.repartition(*CELL).sortWithinPartitions(*CELL, "turn").mapInArrow(
-        search_cells(keep), PACKED)
-    return met.repartition("query").sortWithinPartitions("query").mapInArrow(
-        merge_lists(keep), "query bigint, vid bigint, least bigint, score double")
+    met = mapped(cells.repartition(*CELL).sortWithinPartitions(*CELL, "turn"), search_cells(keep), PACKED)
+    return mapped(met.repartition("query").sortWithinPartitions("query"), merge_lists(keep),
+                  "query bigint, vid bigint, least bigint, score double")
 
 
 def nearest(df: DataFrame, query_of, k: int = 20, vec_id: str = "vec_id", vector: str = "embedding", tables: int = TABLES,
@@ -276,9 +275,11 @@ def nearest(df: DataFrame, query_of, k: int = 20, vec_id: str = "vec_id", vector
     empty, zero or hold null or non-finite components take no part. Vectors of different lengths never meet. Rows that
     repeat an id are rows of their own, but an id asks once for each distinct vector.
     """
-    usable = df.select(quoted(vec_id).cast("bigint").alias("vec_id"), quoted(vector).cast("array<float>").alias("vector")).where(
+    given = df.select(quoted(vector)).schema[0].dataType
+    kind = "array<float>" if given.simpleString() == "array<float>" else "array<double>"
+    usable = df.select(quoted(vec_id).cast("bigint").alias("vec_id"), quoted(vector).cast(kind).alias("vector")).where(
         "vec_id is not null and vector is not null and size(vector) > 0 and "
-        "forall(vector, x -> x is not null and not isnan(x) and abs(x) < cast('inf' as float)) and "
+        "forall(vector, x -> x is not null and not isnan(x) and abs(cast(x as double)) < cast('inf' as double)) and "
         "exists(vector, x -> x <> 0)")
     keep = k + 1
     norm = F.sqrt(F.aggregate("vector", F.lit(0.0), lambda acc, x: acc + x.cast("double") * x.cast("double")))

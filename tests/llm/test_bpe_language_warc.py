@@ -80,6 +80,24 @@ def test_language_of_odd_texts(spark):
     assert language.learn(spark.createDataFrame([(None, "en"), ("a", None), ("7", "en")], "text string, lang string")) == {}
 
 
+def test_language_of_long_and_repeated_texts(spark):
+    known = {"en": b"hello there is the word of the day and the night", "fr": b"bonjour le monde et la ville de la nuit"}
+    long = "bonjour le monde et la ville " * 30_000
+    given = spark.createDataFrame([(1, long, "x"), (2, "hello there", "x"), (2, "hello there", "x"), (None, "hello there", None)],
+                                  "doc_id long, text string, Rejected string")
+    got = sorted(((r["doc_id"] or 0, r["lang_pred"], r["text"] == long) for r in language.identify(given, known).collect()))
+    assert got == [(0, "en", False), (1, "fr", True), (2, "en", False), (2, "en", False)]
+    renamed = given.withColumnRenamed("text", "body").withColumn("text", F.lit("bonjour la ville"))
+    assert {r["lang_pred"] for r in language.identify(renamed, known, text="body").where("doc_id = 2").collect()} == {"en"}
+    assert language.identify(given.limit(0), known).count() == 0
+
+
+def test_archives_of_no_pages(spark, tmp_path):
+    none = spark.createDataFrame([], "page_id long, url string, html string")
+    warc.write_archives(none, f"{tmp_path}/w")
+    assert warc.read_pages(spark, f"{tmp_path}/w").count() == 0
+
+
 def test_chunks_and_cuts():
     rng = random.Random(8)
     for _ in range(100):
