@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from gotera.llm import bpe, decontaminate, jaccard, language, secrets
-from gotera.llm.common import run_folder, table
+from gotera.llm.common import run_folder, stored, table
 
 RANKS = public_tokenizers.path("byte_bpe_multi_50k.tiktoken")
 
@@ -38,8 +38,9 @@ def redact_secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFra
 
 def tokenize(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """The token ids of every document, with the digest of the text that they decode to."""
-    coded = bpe.encode(docs, RANKS, public_tokenizers.PATTERN).select(
-        "doc_id", "lang", "source", "n_chars", F.sha2(F.coalesce("text", F.lit("")), 256).alias("text_sha256"), "ids")
+    # stored in between, so that a task runs one Python worker at a time
+    coded = stored(bpe.encode(docs, RANKS, public_tokenizers.PATTERN).select(
+        "doc_id", "lang", "source", "n_chars", F.sha2(F.coalesce("text", F.lit("")), 256).alias("text_sha256"), "ids"), "coded")
     back = bpe.decode(coded, RANKS, public_tokenizers.PATTERN)
     return back.select("doc_id", "lang", "source", "n_chars", F.size("ids").cast("bigint").alias("n_tokens"), "ids",
                        (F.sha2("decoded", 256) == F.col("text_sha256")).alias("intact"))
