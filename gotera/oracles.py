@@ -413,7 +413,7 @@ SELECT contrato, date, is_fraud, pos, year, month FROM (SELECT *, row_number() O
         # facts about models: who is scored, and what holds of every score
         "gbt_scores": f"{GATED} SELECT contrato, TRUE AS is_probability FROM gated",
         "saved_model_scores": f"{GATED} SELECT contrato, TRUE AS same_score, TRUE AS same_features FROM gated",
-        "random_search": "SELECT TRUE AS better_than_chance, TRUE AS is_a_candidate",
+        "random_search": "SELECT TRUE AS is_auc, TRUE AS is_a_candidate",
         "forest_vote_select": """SELECT unnest(['l_quantity', 'l_extendedprice', 'l_discount']) AS feature,
   unnest([TRUE, FALSE, FALSE]) AS selected""",
     }
