@@ -67,6 +67,19 @@ def test_resampling_refuses_a_ratio_already_exceeded(spark):
             sampling.resample(numbered(spark, 60, 100), ["k"], method, 0.5)
 
 
+@pytest.mark.parametrize("method", ["over", "under"])
+def test_training_rows_beyond_the_ratio_stay_as_they_are(spark, method):
+    rows = numbered(spark, 60, 100)
+    assert sampling.class_sizes(sampling.rebalance(rows, ["k"], method, 0.5)) == (40, 60)
+    assert sampling.class_sizes(sampling.rebalance(numbered(spark, 7, 100), ["k"], method, 0.5)) == (
+        {"over": (93, 46), "under": (14, 7)}[method])
+    inputs = rows.withColumn("a", F.col("k").cast("double"))
+    settings = modelling.TrainingSettings(
+        features=["a"], keys=["k"], preprocessor=-1, sampling=method, params={"n_estimators": 2, "max_depth": 2})
+    scored = modelling.score(modelling.train_model(inputs, settings), inputs)
+    assert scored.where("score between 0 and 1").count() == 100
+
+
 def test_split_is_stable_and_about_one_fifth(spark):
     df = spark.range(5000).select(F.col("id").cast("string").alias("k"))
     share = sampling.with_split(df, ["k"]).agg(F.avg(F.col("is_train").cast("int"))).head()[0]
