@@ -80,3 +80,12 @@ def test_model_input(spark):
 def test_zone_code(spark):
     df = spark.createDataFrame([("zona peligrosa",), ("zona no peligrosa",), ("otra",), (None,)], "z string")
     assert [r[0] for r in df.select(text.danger_zone_code(F.col("z"))).collect()] == [1, 0, None, None]
+
+
+def test_a_reader_of_label_keys_carries_no_rows(spark):
+    raw = spark.createDataFrame(
+        [("a", None, 1, 2, "x"), ("a", None, 1, 1, "y"), ("b", "k", 0, 3, "z")], "c string, d string, is_fraud int, pos int, v string")
+    kept = cleaning.strongest_label(raw, ["c", "d"])
+    assert kept.columns == raw.columns
+    assert {tuple(r) for r in kept.collect()} == {("a", None, 1, 1, "y"), ("b", "k", 0, 3, "z")}
+    assert "max_by" not in kept.select("d").distinct()._jdf.queryExecution().executedPlan().toString()

@@ -147,6 +147,47 @@ def test_the_profile_plan_has_two_data_shuffles_and_no_nested_loop(spark):
     assert "NestedLoop" not in plan and "CartesianProduct" not in plan
 
 
+def executed(df):
+    return df._jdf.queryExecution().executedPlan().toString()
+
+
+def test_profiles_of_many_cutoffs_repeat_no_row_per_window(spark):
+    data = rows(spark, [{"contrato": "a", "date": "1998-10-01", "consumo": 4.0}])
+    plan = executed(profile.window_profiles(data, windows.cutoff_list(["1999-01-01", "1999-02-01"])))
+    assert "explode(sequence" not in plan and "explode([1" not in plan
+    assert plan.count("Sort [") == 2  # one after each shuffle: rows of a piece, pieces of a contract
+
+
+@pytest.mark.parametrize("keep_empty", [True, False])
+def test_sliding_profiles_equal_single_windows(spark, keep_empty):
+    """Gaps, nulls everywhere, several files and pieces a month, dates inside a month, null contracts."""
+    rng = random.Random(5)
+    data = []
+    for i in range(900):
+        month = rng.choice([1, 2, 3, 14, 15, 20, 21, 22, 23, 24])
+        date = dt.date(2021 + (month - 1) // 12, (month - 1) % 12 + 1, 1)
+        data.append({
+            "contrato": rng.choice(["a", "b", "c", "d", None]), "date": date, "pos": i * 7 % 911,
+            "file_month": rng.choice([202201, 202202, None]),
+            "consumo": rng.choice([None, 0.0, 1.0, 2.5]) if month % 5 else None,
+            "estado": rng.choice(["x", "y", None]), "categoria": rng.choice(["k", None]) if month > 20 else None,
+            "barrio": rng.choice(["n", "s", None])})
+    data.append({"contrato": "e", "date": "2021-01-01", "consumo": 3.0})
+    data.append({"contrato": "f", "date": "2021-03-01", "consumo": None, "estado": "x"})
+    df = rows(spark, data).where("not (contrato <=> 'd' and month(date) > 2)")
+    cutoffs = windows.cutoff_list([dt.date(2021 + m // 12, m % 12 + 1, 1) for m in range(2, 40)])
+    together = profile.window_profiles(df, cutoffs, 12, keep_empty, chunk_bits=6)
+    for c in cutoffs[::3]:
+        alone = profile.window_profiles(df, [c], 12, keep_empty, chunk_bits=6)
+        assert sorted_rows(together.where(F.col("cutoff") == c)) == sorted_rows(alone), c
+
+
+def test_dates_inside_a_month_are_in_no_window_of_many(spark):
+    data = [{"contrato": "a", "date": "1998-10-01", "consumo": 4.0}, {"contrato": "a", "date": "1998-10-09", "consumo": 8.0}]
+    made = profile.window_profiles(rows(spark, data), windows.cutoff_list(["1998-11-01", "1998-12-01"]))
+    assert {(r["cutoff"].month, tuple(x for x in r["serie_raw"] if x)) for r in made.collect()} == {(11, (4.0,)), (12, (4.0,))}
+
+
 def test_population_and_negatives_slice_without_another_contract_shuffle(spark):
     data = rows(spark, [{"contrato": "a", "date": "1998-10-01", "consumo": 4.0, "categoria": "x"}])
     months = windows.cutoff_list(["1999-01-01", "1999-02-01"])
