@@ -5,6 +5,7 @@ import pytest
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.sql import functions as F
 
+from gotera import catalog
 from gotera.operators import encoders, report, sampling, selection, skew
 from gotera.plans import model as modelling, runs
 from gotera.schemas import INTERIM
@@ -281,3 +282,10 @@ def test_shadows_are_shuffled_against_each_other(spark):
     assert sum(r["shadow_a"] == r["shadow_b"] for r in made) == 0
     other = {r["_rank"]: r["shadow_a"] for r in selection.with_shadows(rows, ["a", "b"], 500, 1).collect()}
     assert sum(other[r["_rank"]] == r["shadow_a"] for r in made) == 0
+
+
+def test_population_ratios_find_their_cutoffs_once(spark, sf_dir, monkeypatch):
+    calls, plain = [], catalog.months
+    monkeypatch.setattr(catalog, "months", lambda *a: calls.append(a) or plain(*a))
+    catalog.queries()["population_ratios"](spark, sf_dir)
+    assert len(calls) == 1
