@@ -284,6 +284,12 @@ def test_shadows_are_shuffled_against_each_other(spark):
     assert sum(other[r["_rank"]] == r["shadow_a"] for r in made) == 0
 
 
+def test_preprocessing_fits_on_stored_rows(spark, sf_dir):
+    """The fits read the rows about ten times; the joins behind them run once."""
+    made = catalog.queries()["model_preprocessing"](spark, sf_dir)
+    assert made.inputFiles() and not any("lineitem" in f for f in made.inputFiles())
+
+
 def test_population_ratios_find_their_cutoffs_once(spark, sf_dir, monkeypatch):
     calls, plain = [], catalog.months
     monkeypatch.setattr(catalog, "months", lambda *a: calls.append(a) or plain(*a))
