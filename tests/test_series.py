@@ -142,3 +142,11 @@ def test_windows_need_twelve_months(spark):
         series.add_constant_runs(df, 6)
     with pytest.raises(ValueError):
         series.add_moments(df, 6)
+
+
+def test_statistical_features_are_plain_generated_code(spark, capsys):
+    data = [(k, [float(x) for x in v]) for k, v in GOLDEN.items()]
+    df = spark.createDataFrame(data, "id string, serie array<double>")
+    domain_features(df, domains=["statistical"]).explain()
+    plan = capsys.readouterr().out
+    assert "ts_kurtosis" in plan and "lambda" not in plan
