@@ -241,3 +241,15 @@ def test_sliding_sums_do_not_multiply_months(spark):
     cutoffs = [windows.shift_months(dt.date(2015, 1, 1), m) for m in range(1, 61)]
     made = rows(spark, months).select("contrato", "date").distinct()
     assert windows.windows_opened(made, ["contrato"], cutoffs).count() == 59
+
+
+def test_means_of_sliding_profiles_travel_in_plain_columns(spark, capsys):
+    data = [{"contrato": "a", "date": f"2023-{m:02d}-01", "consumo": float(m)} for m in (1, 2, 5, 12)]
+    made = profile.window_profiles(rows(spark, data), [dt.date(2023, 6, 1), JAN, dt.date(2025, 1, 1)])
+    series_only = made.select("contrato", "cutoff", "serie_raw")
+    series_only.explain()
+    assert "collect_list" not in capsys.readouterr().out
+    held = {r["cutoff"]: r["serie_raw"] for r in series_only.collect()}
+    assert held == {
+        dt.date(2023, 6, 1): [*[None] * 7, 1.0, 2.0, None, None, 5.0],
+        JAN: [1.0, 2.0, None, None, 5.0, *[None] * 6, 12.0]}
