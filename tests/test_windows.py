@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from gotera.operators import cutoffs as windows, profile, wide
 from gotera.operators.population import contract_sums, population_stats
+from gotera.session import configure
 
 JAN = dt.date(2024, 1, 1)
 
@@ -253,3 +254,7 @@ def test_means_of_sliding_profiles_travel_in_plain_columns(spark, capsys):
     assert held == {
         dt.date(2023, 6, 1): [*[None] * 7, 1.0, 2.0, None, None, 5.0],
         JAN: [1.0, 2.0, None, None, 5.0, *[None] * 6, 12.0]}
+
+
+def test_a_task_of_a_large_shuffle_gets_at_most_16_mb(spark):
+    assert configure(spark).conf.get("spark.sql.adaptive.advisoryPartitionSizeInBytes") == "16m"
