@@ -7,7 +7,6 @@ import math
 from collections.abc import Sequence
 from itertools import combinations
 
-from pyspark.ml.classification import RandomForestClassifier
 from pyspark.ml.feature import Imputer, VectorAssembler
 from pyspark.ml.functions import array_to_vector
 from pyspark.ml.stat import Correlation
@@ -15,6 +14,7 @@ from pyspark.mllib.linalg.distributed import RowMatrix
 from pyspark.mllib.util import MLUtils
 from pyspark.sql import DataFrame, functions as F
 
+from gotera.operators import forest
 from gotera.operators.durable import settle
 from gotera.operators.sampling import class_sizes
 from gotera.operators.skew import stable_hash, with_hash_rank
@@ -125,19 +125,22 @@ def select_by_constancy(df: DataFrame, features: Sequence[str], threshold: float
     return [f for f in features if shares.get(f, 0.0) <= threshold]
 
 
+def shadow_shift(feature: str, rows: int, run: int) -> int:
+    """How many places of the hash order a feature's shadow lies further on: another number for each feature and run."""
+    drawn = hashlib.md5(f"shadow{run}|{feature}".encode(), usedforsecurity=False).hexdigest()
+    return 1 + int(drawn, 16) % max(rows - 1, 1)
+
+
 def with_shadows(ranked: DataFrame, features: Sequence[str], rows: int, run: int) -> DataFrame:
     """Add ``shadow_<f>``: each feature's values of the rows that lie a shift of its own further in one fixed hash order.
 
     Features get different shifts, so their shadows are shuffled against each other too, not only against the rows. All
-    values travel in one shuffle, by the place that they go to.
+    values travel in one shuffle, by the place that they go to. ``forest_votes`` shifts whole blocks of bins instead.
     """
-    def shift(f: str) -> int:
-        drawn = hashlib.md5(f"shadow{run}|{f}".encode(), usedforsecurity=False).hexdigest()
-        return 1 + int(drawn, 16) % max(rows - 1, 1)
-
     size = F.lit(max(rows, 1))
     moved = F.explode(F.array(*[
-        F.struct(F.pmod(F.col("_rank") + shift(f), size).alias("_at"), F.lit(i).alias("number"), F.col(f"`{f}`").alias("value"))
+        F.struct(F.pmod(F.col("_rank") + shadow_shift(f, rows, run), size).alias("_at"), F.lit(i).alias("number"),
+                 F.col(f"`{f}`").alias("value"))
         for i, f in enumerate(features)]))
     other = ranked.select(moved.alias("m")).groupBy(F.col("m._at").alias("_at")).agg(*[
         F.max(F.when(F.col("m.number") == i, F.col("m.value"))).alias(f"shadow_{f}") for i, f in enumerate(features)])
@@ -155,31 +158,25 @@ def forest_votes(
 ) -> dict[str, int]:
     """In how many of the runs a feature outranks a random column and every shuffled copy, in a class-balanced forest.
 
-    Missing values are filled with the feature's median. The filled table is ranked once in hash order and kept; each run
-    shifts that order, joins once and keeps the vectors that its forest reads several times.
+    Missing values are filled with the feature's median. The filled table is ranked once in hash order; each run shifts
+    the features along that order, and the forests of all runs grow together (``forest.importances``).
     """
+    features = list(features)
+    total = df.count()
     zero, one = class_sizes(df, target)
-    weight = F.when(F.col(target) == 1, F.lit((zero + one) / (2 * max(one, 1)))).otherwise(
-        F.lit((zero + one) / (2 * max(zero, 1))))
+    if zero + one != total or not total:
+        raise ValueError("every row needs a target of 0 or 1, and there must be rows")
+    weights = [total / (2 * max(zero, 1)), total / (2 * max(one, 1))]
     numbers = df.select(*keys, F.col(target), *[F.col(f"`{f}`").cast("double").alias(f) for f in features])
-    filled = Imputer(strategy="median", inputCols=list(features), outputCols=[f"_filled_{f}" for f in features]).fit(numbers)
+    filled = Imputer(strategy="median", inputCols=features, outputCols=[f"_filled_{f}" for f in features]).fit(numbers)
     ready = filled.transform(numbers).select(
-        *keys, F.col(target).cast("double").alias(target), weight.alias("_weight"), stable_hash(*keys, seed="shadow").alias("_h"),
+        F.col(target).cast("int").alias(target), stable_hash(*keys, seed="shadow").alias("_h"),
         *[F.coalesce(f"`_filled_{f}`", F.lit(0.0)).alias(f) for f in features])
     ranked = settle(with_hash_rank(ready, "_h", "_rank").drop("_h"))
-    votes = dict.fromkeys(features, 0)
-    for run in range(runs):
-        noise = F.conv(F.substring(stable_hash(*keys, seed=f"noise{run}"), 1, 13), 16, 10).cast("double")
-        rows = with_shadows(ranked, features, zero + one, run).withColumn("_noise", noise)
-        inputs = [*features, "_noise", *[f"shadow_{f}" for f in features]]
-        vectors = VectorAssembler(inputCols=inputs, outputCol="_v").transform(rows)
-        forest = RandomForestClassifier(
-            featuresCol="_v", labelCol=target, weightCol="_weight", maxDepth=depth, numTrees=trees, seed=run)
-        importance = forest.fit(settle(vectors.select("_v", target, "_weight"))).featureImportances.toArray()
-        bar = max(importance[len(features):])
-        for f, value in zip(features, importance):
-            votes[f] += int(value > bar)
-    return votes
+    shifts = [[shadow_shift(f, total, run) for f in features] for run in range(runs)]
+    found = forest.importances_beside_shadows(ranked, features, target, (zero, one), weights, shifts, trees, depth)
+    won = (found[:, :len(features)] > found[:, len(features):].max(axis=1, keepdims=True)).sum(axis=0)
+    return {f: int(votes) for f, votes in zip(features, won)}
 
 
 def select_by_forest(
