@@ -258,3 +258,26 @@ def test_means_of_sliding_profiles_travel_in_plain_columns(spark, capsys):
 
 def test_a_task_of_a_large_shuffle_gets_at_most_16_mb(spark):
     assert configure(spark).conf.get("spark.sql.adaptive.advisoryPartitionSizeInBytes") == "16m"
+
+
+def test_rows_outside_all_targets_windows_are_not_shuffled(spark):
+    """One target of one year: the contract's other years are left out before the pieces, and nothing changes for the target."""
+    data = [{"contrato": "a", "date": windows.shift_months(dt.date(2015, 1, 1), m), "consumo": float(m),
+             "estado": "xy"[m % 2], "categoria": "X"} for m in range(60)]
+    cutoffs = [windows.shift_months(dt.date(2016, 1, 1), m) for m in range(48)]
+    targets = spark.createDataFrame([("a", cutoffs[5], (1,))], "contrato string, cutoff date, label struct<is_fraud:int>")
+    seen, pieces = [], profile.pieces
+    with pytest.MonkeyPatch.context() as patch:
+        patch.setattr(profile, "pieces", lambda rows, *a: seen.append(rows.count()) or pieces(rows, *a))
+        made = profile.target_profiles(rows(spark, data), targets, cutoffs).collect()
+    assert seen == [12]
+    assert [(r["serie_raw"], r["cambios_estado"], r["cant_estado"]) for r in made] == [([float(m) for m in range(5, 17)], 11, 2)]
+
+
+def test_training_rows_read_consumption_and_inspections_once_each_way(spark, consumption, labels):
+    """Consumption is summed by month once, for the population and for the negatives; the targets are kept once."""
+    seen, sums = [], wide.monthly_sums
+    with pytest.MonkeyPatch.context() as patch:
+        patch.setattr(wide, "monthly_sums", lambda made: seen.append(made) or sums(made), raising=False)
+        made = wide.train_wide(consumption, labels, [JAN, dt.date(1996, 6, 1)], 12, 5, 45)
+    assert len(seen) == 1 and made.count() >= 0
