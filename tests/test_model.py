@@ -295,3 +295,15 @@ def test_population_ratios_find_their_cutoffs_once(spark, sf_dir, monkeypatch):
     monkeypatch.setattr(catalog, "months", lambda *a: calls.append(a) or plain(*a))
     catalog.queries()["population_ratios"](spark, sf_dir)
     assert len(calls) == 1
+
+
+def test_random_search_asks_for_the_whole_search(spark, sf_dir, monkeypatch):
+    """Every draw, fold and round that the library searches by default; the query cuts none of them."""
+    asked = []
+    monkeypatch.setattr(catalog, "model_rows", lambda *a: None)
+    monkeypatch.setattr(modelling, "search_params", lambda rows, settings, **cuts: asked.append((settings.params, cuts)) or (
+        0.5, {**settings.params, **modelling.draw_params()[-1]}))
+    assert [tuple(r) for r in catalog.queries()["random_search"](spark, sf_dir).collect()] == [(True, True)]
+    (params, cuts), = asked
+    assert params["n_estimators"] == modelling.ROUNDS == 1000 and not cuts
+    assert (modelling.SEARCH_DRAWS, modelling.SEARCH_FOLDS, modelling.PATIENCE) == (60, 3, 30)
