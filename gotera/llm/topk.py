@@ -8,15 +8,15 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window, functions as F, types as T
 
-from gotera.llm.common import quoted, shuffle_width, stored
+from gotera.llm.common import mapped, quoted, shuffle_width, stored
 from gotera.operators.skew import broadcast_if_small
 
 #: Components of the queries that a cell holds (32 MB of doubles), and of the vectors that stream past them: parts are of
 #: the lesser size while they are fewer than the session's shuffle partitions, and of the greater size at most.
 QUERY_COMPONENTS = 1 << 22
 LEAST_PART, LARGEST_PART = 1 << 18, 1 << 24
-#: Scores that are looked at in one piece, and found rows that are held before they are reduced.
-SCORES = PENDING = 1 << 20
+#: Scores that are looked at in one piece, and found rows that are held before they are reduced, whatever a batch holds.
+SCORES = PENDING = 1 << 18
 BINS = 1_024
 #: A query is refined no further when at most this many rows reach the bin that holds its k-th value.
 FEW = 64
@@ -74,8 +74,9 @@ def cells(batches, scale: int) -> Iterator[tuple[Queries, tuple | None]]:
                 data = np.nan_to_num(np.floor(flat.astype(np.float64) * scale)).reshape(end - start, here[0])
             if keys[-1, start] == 0:
                 held.append((row[start:end], data, *(c[start:end] for c in (low, high, width, need))))
-            elif held:
-                queries = queries or Queries(held)
+            elif held or queries:
+                if not queries:
+                    queries, held = Queries(held), []
                 yield queries, (row[start:end], vec_id[start:end], unnamed[start:end], data)
             start = end
     if queries:
@@ -97,8 +98,21 @@ def upper_bins(query: np.ndarray, at: np.ndarray, n: np.ndarray, need: np.ndarra
     return query[kept], at[kept], total[kept]
 
 
+def counted_so_far(held: list[tuple], queries: Queries, floor: np.ndarray) -> tuple:
+    """The held counts summed up and cut to upper bins; ``floor`` rises where a query's bins hold what it needs."""
+    query, at, n = upper_bins(*(np.concatenate(c) for c in zip(*held)), queries.need)
+    full = np.bincount(query, weights=n, minlength=len(floor)) >= queries.need
+    lowest = np.full(len(floor), BINS, np.int64)
+    np.minimum.at(lowest, query, at)
+    floor[full] = queries.low[full] + queries.width[full] * lowest[full]
+    return query, at, n
+
+
 def histogram(scale: int):
-    """(query, bin, n): per cell and query, how many scores lie in each bin of the query's range, its upper bins only."""
+    """(query, bin, n): per cell and query, how many scores lie in each bin of the query's range, its upper bins only.
+
+    Counts are summed up as soon as ``PENDING`` are held, also amid the vectors of one batch.
+    """
     def run(batches):
         held: list[tuple] = []
         size, owner, floor = 0, None, None
@@ -106,27 +120,24 @@ def histogram(scale: int):
             if queries is not owner:
                 owner, held, size = queries, [], 0
                 floor = queries.low.copy()
-            if vectors is not None:
-                for i, j, score in queries.scores(vectors[3]):
-                    mine = slice(i, i + len(score))
-                    query, column = np.nonzero((score >= floor[mine, None]) & (score <= queries.high[mine, None]))
-                    own = queries.row[query + i] == vectors[0][column + j]
-                    query, found = query[~own] + i, score[query[~own], column[~own]]
-                    if len(query):
-                        at = (found - queries.low[query]).view(np.uint64) // queries.width[query].view(np.uint64)
-                        held.append((query, at.astype(np.int64), np.ones(len(query), np.int64)))
-                        size += len(query)
-            if size > PENDING or (vectors is None and held):
-                query, at, n = upper_bins(*(np.concatenate(c) for c in zip(*held)), queries.need)
-                held, size = [(query, at, n)], 0
-                full = np.bincount(query, weights=n, minlength=len(floor)) >= queries.need
-                lowest = np.full(len(floor), BINS, np.int64)
-                np.minimum.at(lowest, query, at)
-                floor[full] = queries.low[full] + queries.width[full] * lowest[full]
-                if vectors is None:
+            if vectors is None:
+                if held:
+                    query, at, n = counted_so_far(held, queries, floor)
                     yield pa.RecordBatch.from_arrays(
                         [pa.array(queries.row[query]), pa.array(at), pa.array(n)], names=["query", "bin", "n"])
                     held = []
+                continue
+            for i, j, score in queries.scores(vectors[3]):
+                mine = slice(i, i + len(score))
+                query, column = np.nonzero((score >= floor[mine, None]) & (score <= queries.high[mine, None]))
+                own = queries.row[query + i] == vectors[0][column + j]
+                query, found = query[~own] + i, score[query[~own], column[~own]]
+                if len(query):
+                    at = (found - queries.low[query]).view(np.uint64) // queries.width[query].view(np.uint64)
+                    held.append((query, at.astype(np.int64), np.ones(len(query), np.int64)))
+                    size += len(query)
+                if size > PENDING:
+                    held, size = [counted_so_far(held, queries, floor)], 0
 
     return run
 
@@ -142,6 +153,15 @@ def best(found: list[tuple], keep: int) -> tuple:
     return query[rank < keep], score[order], unnamed[order], vec_id[order], row[order]
 
 
+def best_so_far(found: list[tuple], keep: int, floor: np.ndarray) -> tuple:
+    """The ``keep`` best of the found rows; ``floor`` rises to the last of them where a query has as many."""
+    kept = best(found, keep)
+    full = np.flatnonzero(np.bincount(kept[0], minlength=len(floor)) >= keep)
+    last = np.searchsorted(kept[0], full, side="right") - 1
+    floor[full] = np.maximum(floor[full], kept[1][last])
+    return kept
+
+
 def reaching(scale: int, keep: int):
     """(query, score, unnamed, vec_id, row): per cell and query, the best ``keep`` of the rows that reach its bound."""
     def run(batches):
@@ -150,24 +170,22 @@ def reaching(scale: int, keep: int):
         for queries, vectors in cells(batches, scale):
             if queries is not owner:
                 owner, found, size, floor = queries, [], 0, queries.low.copy()
-            if vectors is not None:
-                for i, j, score in queries.scores(vectors[3]):
-                    query, column = np.nonzero(score >= floor[i:i + len(score), None])
-                    own = queries.row[query + i] == vectors[0][column + j]
-                    query, column = query[~own], column[~own]
-                    if len(query):
-                        found.append((query + i, score[query, column], *(vectors[c][column + j] for c in (2, 1, 0))))
-                        size += len(query)
-            if found and (size > PENDING or vectors is None):
-                kept = best(found, keep)
-                found, size = [kept], 0
-                full = np.flatnonzero(np.bincount(kept[0], minlength=len(floor)) >= keep)
-                last = np.searchsorted(kept[0], full, side="right") - 1
-                floor[full] = np.maximum(floor[full], kept[1][last])
-                if vectors is None:
+            if vectors is None:
+                if found:
+                    kept = best_so_far(found, keep, floor)
                     yield pa.RecordBatch.from_arrays([pa.array(queries.row[kept[0]]), *map(pa.array, kept[1:])],
                                                      names=["query", "score", "unnamed", "vec_id", "row"])
                     found = []
+                continue
+            for i, j, score in queries.scores(vectors[3]):
+                query, column = np.nonzero(score >= floor[i:i + len(score), None])
+                own = queries.row[query + i] == vectors[0][column + j]
+                query, column = query[~own], column[~own]
+                if len(query):
+                    found.append((query + i, score[query, column], *(vectors[c][column + j] for c in (2, 1, 0))))
+                    size += len(query)
+                if size > PENDING:
+                    found, size = [best_so_far(found, keep, floor)], 0
 
     return run
 
@@ -262,13 +280,12 @@ def search(df: DataFrame, query_of: Callable[[Column], Column], k: int = 5, vec_
     finished = state.limit(0)
     while not state.isEmpty():
         asked = named.join(state.select("row", *RANGE), "row")
-        counted = met(rows, asked, sizes).mapInArrow(histogram(scale), "query bigint, bin bigint, n bigint")
+        counted = mapped(met(rows, asked, sizes), histogram(scale), "query bigint, bin bigint, n bigint")
         state = stored(refined(state, counted), "state")
         finished = finished.unionByName(state.where("done"))
         state = state.where("not done")
     asked = named.join(finished.select("row", *RANGE), "row")
-    found = met(rows, asked, sizes).mapInArrow(
-        reaching(scale, k), "query bigint, score bigint, unnamed int, vec_id bigint, row bigint")
+    found = mapped(met(rows, asked, sizes), reaching(scale, k), "query bigint, score bigint, unnamed int, vec_id bigint, row bigint")
     order = Window.partitionBy("query").orderBy(F.desc("score"), "unnamed", "vec_id", "row")
     ranked = found.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= k)
     ids = asking.select(F.col("row").alias("query"), F.col("vec_id").alias("query_id"))

@@ -1,6 +1,9 @@
 import math
 import random
+import tracemalloc
 
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import functions as F
 
 from gotera.llm import topk
@@ -67,3 +70,37 @@ def test_float_vectors_keep_their_values(spark):
     df = spark.createDataFrame(rows, "vec_id long, embedding array<float>")
     exact = [(r["vec_id"], r["embedding"]) for r in df.collect()]
     assert found(spark, exact, 5, 50, "float") == truth(exact, 5, 50)
+
+
+def test_a_large_batch_is_reduced_on_its_way():
+    """Many queries over one large batch of vectors: what a task holds follows the pending bound, not their product."""
+    rng = np.random.default_rng(4)
+    vectors, k = rng.integers(-50, 50, (12_000, 4)) / 256.0, 5
+    n, asked = len(vectors), 1_500
+    scores = np.rint((vectors[:asked] * 256) @ (vectors.T * 256)).astype(np.int64)
+    scores[np.arange(asked), np.arange(asked)] = -LONG
+    kth = np.sort(scores, axis=1)[:, -k]
+    low, width = -2 * 50 * 50 * 4, 2 * 2 * 50 * 50 * 4 // topk.BINS + 1
+
+    def batch(rows, side):
+        whole = lambda value: pa.array([value] * rows, pa.int64())
+        columns = {c: whole(v) for c, v in (("dim", 4), ("deal", 0), ("part", 0), ("side", side))}
+        columns |= {"row": pa.array(range(rows)), "vec_id": pa.array(range(rows)), "unnamed": whole(0),
+                    "vector": pa.array(list(vectors[:rows]), pa.list_(pa.float64()))}
+        return pa.RecordBatch.from_pydict(columns | {c: whole(v) for c, v in zip(topk.RANGE, (low, LONG - 1, width, k))})
+
+    batches = [batch(asked, 0), batch(n, 1)]
+    for work in (topk.histogram(256), topk.reaching(256, k)):
+        tracemalloc.start()
+        made = pa.Table.from_batches(list(work(batches)))
+        peak = tracemalloc.get_traced_memory()[1]
+        tracemalloc.stop()
+        assert peak < 100e6, f"{peak / 1e6:.0f} MB"
+        if "bin" in made.column_names:
+            upper = made.to_pandas().sort_values(["query", "bin"], ascending=[True, False])
+            upper["reached"] = upper.groupby("query")["n"].cumsum()
+            located = upper[upper["reached"] >= k].groupby("query")["bin"].max()
+            assert (located.to_numpy() == (kth - low) // width).all() and len(located) == asked
+        else:
+            got = made.to_pandas().sort_values(["query", "score"], ascending=[True, False]).groupby("query")["score"]
+            assert (got.min().to_numpy() == kth).all() and (got.size() == k).all()
