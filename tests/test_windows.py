@@ -5,6 +5,7 @@ import pytest
 from helpers import as_set, rows, sorted_rows
 from pyspark.sql import functions as F
 
+from gotera import catalog
 from gotera.operators import cutoffs as windows, profile, wide
 from gotera.operators.population import contract_sums, population_stats
 from gotera.session import configure
@@ -281,3 +282,25 @@ def test_training_rows_read_consumption_and_inspections_once_each_way(spark, con
         patch.setattr(wide, "monthly_sums", lambda made: seen.append(made) or sums(made), raising=False)
         made = wide.train_wide(consumption, labels, [JAN, dt.date(1996, 6, 1)], 12, 5, 45)
     assert len(seen) == 1 and made.count() >= 0
+
+
+def test_asked_windows_are_sliced_after_the_join(spark):
+    """The rows of the asked windows as by slicing everything; rows are shuffled before they are repeated, not after."""
+    rng = random.Random(8)
+    days = [dt.date(2022 + m // 12, m % 12 + 1, 1) for m in range(30)]
+    data = [(rng.choice(["a", "b", "c", "d", None]), rng.choice(days + [dt.date(2023, 3, 15), None]), i) for i in range(600)]
+    read = spark.createDataFrame(data + data[:40], "contrato string, date date, pos bigint")
+    pairs = [(rng.choice(["a", "b", "x", None]), rng.choice(days + [None])) for _ in range(40)]
+    asked = spark.createDataFrame(pairs + pairs[:9] + [("c", None), ("d", JAN)], "contrato string, cutoff date")
+    for cutoffs in ([JAN], days[12:24], [dt.date(2023, 2, 1), JAN]):
+        expected = windows.slice_windows(read, cutoffs).join(asked, ["contrato", "cutoff"], "left_semi")
+        for most in (0, 100):
+            made = windows.slice_asked(read, asked, cutoffs, max_rows=most)
+            assert sorted_rows(made) == sorted_rows(expected) and made.count() > 0
+    plan = windows.slice_asked(read, asked, days[12:24], max_rows=0)._jdf.queryExecution().sparkPlan().toString()
+    assert plan.count("Generate explode") == 1 and plan.index("Generate explode") < plan.index("Join")
+
+
+def test_inspected_window_rows_repeat_rows_last(spark, sf_dir):
+    plan = catalog.queries()["inspected_window_rows"](spark, sf_dir)._jdf.queryExecution().sparkPlan().toString()
+    assert plan.index("Generate explode") < plan.index("Join")
