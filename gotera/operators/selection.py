@@ -12,14 +12,18 @@ from pyspark.ml.functions import array_to_vector
 from pyspark.ml.stat import Correlation
 from pyspark.mllib.linalg.distributed import RowMatrix
 from pyspark.mllib.util import MLUtils
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import DataFrame, Window, functions as F
 
 from gotera.operators import forest
-from gotera.operators.durable import settle
+from gotera.operators.durable import settle, stored
 from gotera.operators.sampling import class_sizes
 from gotera.operators.skew import stable_hash, with_hash_rank
 
 METHODS = ("pearson", "spearman")
+# Distinct values whose ranks are broadcast, over all columns; a column beyond that is joined by value.
+LOOKUP_VALUES = 500_000
+# Ranks of more columns than this are left to Spark, which shuffles single values; a join by value moves whole rows.
+JOINED_RANKS = 16
 
 
 def _missing(df: DataFrame, columns: Sequence[str]) -> set[str]:
@@ -28,7 +32,7 @@ def _missing(df: DataFrame, columns: Sequence[str]) -> set[str]:
 
 
 def _matrix(numbers: DataFrame, columns: Sequence[str], method: str) -> dict[tuple[str, str], float]:
-    """Columns without missing values: one pass over assembled vectors."""
+    """Columns without missing values, over assembled vectors."""
     vectors = VectorAssembler(inputCols=list(columns), outputCol="_v").transform(numbers).select("_v")
     matrix = Correlation.corr(vectors, "_v", method).head()[0]
     return {(a, b): float(matrix[i, j]) for (i, a), (j, b) in combinations(enumerate(columns), 2)}
@@ -58,6 +62,50 @@ def _pairwise_pearson(numbers: DataFrame, columns: Sequence[str]) -> dict[tuple[
     return out
 
 
+def _centred_ranks(numbers: DataFrame, columns: int) -> DataFrame:
+    """(number, value, centred): of each column ``v<number>`` the distinct values with their mean rank, less that of all rows.
+
+    Values are counted first, dealt to ranges of (number, value) and summed up inside them; the sums of the ranges below
+    (one row per range) are broadcast.
+    """
+    entries = F.explode(F.array(*[
+        F.struct(F.lit(i).alias("number"), F.col(f"v{i}").alias("value")) for i in range(columns)]))
+    counted = numbers.select(entries.alias("e")).select("e.*").groupBy("number", "value").agg(F.count("*").alias("n"))
+    ranged = stored(counted.repartitionByRange("number", "value").withColumn("part", F.spark_partition_id()))
+    lower = Window.partitionBy("number").orderBy("part").rowsBetween(Window.unboundedPreceding, -1)
+    starts = ranged.groupBy("number", "part").agg(F.sum("n").alias("rows")).select(
+        "number", "part", F.coalesce(F.sum("rows").over(lower), F.lit(0)).alias("start"),
+        F.sum("rows").over(Window.partitionBy("number")).alias("total"))
+    inside = Window.partitionBy("number", "part").orderBy("value").rowsBetween(Window.unboundedPreceding, -1)
+    before = F.col("start") + F.coalesce(F.sum("n").over(inside), F.lit(0))
+    return ranged.join(F.broadcast(starts), ["number", "part"]).select(
+        "number", "value", (before + (F.col("n") - F.col("total")) / 2).alias("centred"))
+
+
+def _rank_matrix(numbers: DataFrame, columns: Sequence[str]) -> dict[tuple[str, str], float]:
+    """Spearman correlations of columns without missing values; equal values share their mean rank.
+
+    The distinct values are ranked, not the rows. The ranks of a column with few values are looked up; only a column with
+    many values costs a shuffle of the rows. The sums of products of all pairs are one pass.
+    """
+    size = len(columns)
+    if size > JOINED_RANKS or len(numbers.head(2)) < 2:
+        return _matrix(numbers, columns, "spearman")
+    rows = numbers.select(*[F.col(f"`{c}`").alias(f"v{i}") for i, c in enumerate(columns)])
+    ranks = stored(_centred_ranks(rows, size))
+    held = 0
+    for r in sorted(ranks.groupBy("number").count().collect(), key=lambda r: (r["count"], r["number"])):
+        i = r["number"]
+        held += r["count"]
+        lookup = ranks.where(F.col("number") == i).select(F.col("value").alias(f"v{i}"), F.col("centred").alias(f"r{i}"))
+        rows = rows.join(F.broadcast(lookup) if held <= LOOKUP_VALUES else lookup, f"v{i}").drop(f"v{i}")
+    pairs = [(i, j) for i in range(size) for j in range(i, size)]
+    found = rows.agg(*[F.sum(F.col(f"r{i}") * F.col(f"r{j}")).alias(f"s{i}_{j}") for i, j in pairs]).head()
+    scale = [math.sqrt(found[f"s{i}_{i}"]) for i in range(size)]
+    return {(a, b): found[f"s{i}_{j}"] / (scale[i] * scale[j]) if scale[i] and scale[j] else float("nan")
+            for (i, a), (j, b) in combinations(enumerate(columns), 2)}
+
+
 def correlations(df: DataFrame, columns: Sequence[str], method: str = "pearson") -> dict[tuple[str, str], float]:
     """Correlation of every pair of columns (features squared numbers, whatever the row count); nan where undefined.
 
@@ -70,17 +118,17 @@ def correlations(df: DataFrame, columns: Sequence[str], method: str = "pearson")
     numbers = df.select(*[F.nanvl(F.col(f"`{c}`").cast("double"), F.lit(None).cast("double")).alias(c) for c in columns])
     missing = _missing(numbers, columns)
     if not missing:
-        out = _matrix(numbers, columns, method)
+        out = _matrix(numbers, columns, method) if method == "pearson" else _rank_matrix(numbers, columns)
     elif method == "pearson":
         out = _pairwise_pearson(numbers, columns)
     else:
         numbers = settle(numbers)
         whole = [c for c in columns if c not in missing]
-        out = _matrix(numbers, whole, method) if len(whole) > 1 else {}
+        out = _rank_matrix(numbers, whole) if len(whole) > 1 else {}
         for a, b in combinations(columns, 2):
             if (a, b) not in out:
                 both = numbers.select(F.col(f"`{a}`").alias("a"), F.col(f"`{b}`").alias("b")).dropna()
-                out[a, b] = _matrix(both, ["a", "b"], method)["a", "b"] if len(both.head(2)) == 2 else float("nan")
+                out[a, b] = _rank_matrix(both, ["a", "b"])["a", "b"] if len(both.head(2)) == 2 else float("nan")
     return out | {(b, a): value for (a, b), value in out.items()}
 
 

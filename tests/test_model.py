@@ -307,3 +307,25 @@ def test_random_search_asks_for_the_whole_search(spark, sf_dir, monkeypatch):
     (params, cuts), = asked
     assert params["n_estimators"] == modelling.ROUNDS == 1000 and not cuts
     assert (modelling.SEARCH_DRAWS, modelling.SEARCH_FOLDS, modelling.PATIENCE) == (60, 3, 30)
+
+
+def test_rank_correlations_rank_distinct_values(spark, monkeypatch):
+    """Ties, signed zeros, infinities and constants as in Spark's ranks, with looked-up and with joined ranks; rows are not ranked."""
+    rng = random.Random(9)
+    rows = [(rng.gauss(0, 1) * 1e3, float(rng.randrange(4)), rng.choice([0.0, -0.0, 1.5, float("inf"), float("-inf")]), 7.0, i // 3)
+            for i in range(900)]
+    df = frame(spark, rows + rows[:200], "a double, b double, `c d` double, flat double, g int").repartition(5)
+    columns = ["a", "b", "c d", "flat", "g"]
+    numbers = df.select(*[F.col(f"`{c}`").cast("double").alias(c) for c in columns])
+    expected = selection._matrix(numbers, columns, "spearman")
+    matrix = selection._matrix
+    monkeypatch.setattr(selection, "_matrix", lambda *a: pytest.fail("rows were ranked"))
+    for most in (selection.LOOKUP_VALUES, 8, 0):
+        monkeypatch.setattr(selection, "LOOKUP_VALUES", most)
+        got = selection.correlations(df, columns, "spearman")
+        for pair, value in expected.items():
+            assert got[pair] == pytest.approx(value, abs=1e-9, nan_ok=True)
+    assert math.isnan(got["a", "flat"]) and got["g", "a"] == got["a", "g"]
+    monkeypatch.setattr(selection, "_matrix", matrix)
+    monkeypatch.setattr(selection, "JOINED_RANKS", 4)
+    assert selection.correlations(df, columns, "spearman")["a", "b"] == pytest.approx(expected["a", "b"], abs=1e-9)
