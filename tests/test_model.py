@@ -329,3 +329,32 @@ def test_rank_correlations_rank_distinct_values(spark, monkeypatch):
     monkeypatch.setattr(selection, "_matrix", matrix)
     monkeypatch.setattr(selection, "JOINED_RANKS", 4)
     assert selection.correlations(df, columns, "spearman")["a", "b"] == pytest.approx(expected["a", "b"], abs=1e-9)
+
+
+def boosting_rows(spark, n=600):
+    rng = random.Random(12)
+    x = [[rng.gauss(0, 1) for _ in range(3)] for _ in range(n)]
+    return frame(spark, [(str(i), *v, int(v[0] + v[1] * v[2] + rng.gauss(0, 0.7) > 0)) for i, v in enumerate(x)],
+                 "k string, a double, b double, c double, target int")
+
+
+def test_first_rounds_are_the_fit_of_fewer_rounds(spark, tmp_path):
+    vectors = Pipeline(stages=modelling.vector_stages(["a", "b", "c"])).fit(boosting_rows(spark)).transform(boosting_rows(spark))
+    rows = vectors.select("features", F.col("target").cast("double"), F.lit(1.0).alias("weight")).cache()
+    params = {"max_depth": 3, "min_child_samples": 10, "subsample": 0.7, "colsample_bytree": 0.6}
+    cut = modelling.first_rounds(modelling.boosted_trees({**params, "n_estimators": 9}).fit(rows), 4)
+    fewer = modelling.boosted_trees({**params, "n_estimators": 4}).fit(rows)
+    assert [t.toDebugString.split("\n", 1)[1] for t in cut.trees] == [t.toDebugString.split("\n", 1)[1] for t in fewer.trees]
+    assert cut.treeWeights == fewer.treeWeights and cut.getMaxIter() == 4 and cut.numFeatures == fewer.numFeatures
+    scores = lambda model: [r[0] for r in model.transform(rows).select("probability").collect()]
+    cut.write().save(f"{tmp_path}/cut")
+    assert scores(cut) == scores(fewer) == scores(type(cut).load(f"{tmp_path}/cut"))
+
+
+def test_a_search_fits_every_candidate_once_a_fold(spark, monkeypatch):
+    """The best round's trees are taken from the fit that found them, and every candidate is judged on every fold."""
+    fits, plain = [], modelling.boosted_trees
+    monkeypatch.setattr(modelling, "boosted_trees", lambda params: fits.append(params) or plain(params))
+    settings = modelling.TrainingSettings(features=["a", "b", "c"], keys=["k"], preprocessor=-1, sampling="none", params={"n_estimators": 4})
+    best, params = modelling.search_params(boosting_rows(spark, 1_500), settings, draws=2, folds=3)
+    assert len(fits) == 6 and 0.5 < best <= 1 and params in [{"n_estimators": 4, **p} for p in modelling.draw_params(2)]
