@@ -356,5 +356,5 @@ def test_a_search_fits_every_candidate_once_a_fold(spark, monkeypatch):
     fits, plain = [], modelling.boosted_trees
     monkeypatch.setattr(modelling, "boosted_trees", lambda params: fits.append(params) or plain(params))
     settings = modelling.TrainingSettings(features=["a", "b", "c"], keys=["k"], preprocessor=-1, sampling="none", params={"n_estimators": 4})
-    best, params = modelling.search_params(boosting_rows(spark, 1_500), settings, draws=2, folds=3)
+    best, params = modelling.search_params(boosting_rows(spark, 6_000), settings, draws=2, folds=3)
     assert len(fits) == 6 and 0.5 < best <= 1 and params in [{"n_estimators": 4, **p} for p in modelling.draw_params(2)]
